@@ -18,7 +18,7 @@ BOILERPLATE = (
 #: Marks between the entries of a menu.
 NAVIGATION = r"[|\x{bb}\x{2022}\x{b7}>]"
 #: A line of prose ends with one of these, quotes and brackets aside.
-END = r"[.!?:;\x{2026}\x{3002}][\x22'\x{201d}\x{2019}\x{bb})\]]*[\x20\x09-\x0D]*$"
+END = r"[.!?:;\x{2026}\x{3002}][\x22\x27\x{201d}\x{2019}\x{bb})\]]*[\x20\x09-\x0D]*$"
 
 
 @dataclass(frozen=True)

@@ -78,7 +78,7 @@ def _frequent(sets: DataFrame) -> Callable[[Column], Column]:
         return lambda g: F.lit(False)
     literal = F.split(F.lit(",".join(str(table.get(i, 0)) for i in range(1 << (SKETCH_BITS - 6)))), ",").cast("array<bigint>")
     at = lambda g: _bucket(g).cast("int")
-    return lambda g: (g < 0) & (F.shiftright(F.get(literal, F.shiftright(at(g), 6)), at(g).bitwiseAND(63)).bitwiseAND(1) == 1)
+    return lambda g: (g < 0) & (F.call_function("shiftright", F.get(literal, F.shiftright(at(g), 6)), at(g).bitwiseAND(63)).bitwiseAND(1) == 1)
 
 
 def _least(n: Column, rule: Jaccard) -> Column:

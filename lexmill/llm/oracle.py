@@ -22,3 +22,26 @@ OP10 = r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS x FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size, doc_id = min(doc_id) OVER (PARTITION BY x) AS kept, h AS text_sha256 FROM t
 """
+
+OP7 = r"""
+WITH w AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents
+), g AS (SELECT r, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g, unnest(range(1, len(w) - 1)) AS p FROM w WHERE len(w) > 2
+), twin AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1
+), cov AS (SELECT r, count(DISTINCT p + k) AS n FROM twin, (VALUES (0), (1), (2)) AS k(k) GROUP BY r
+), u AS (SELECT DISTINCT r, unnest(l) AS x FROM w
+), m AS (SELECT r, x, len(list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda v: v <> '')) AS n,
+    length(x) - length(regexp_replace(x, '[!?#*$%&<>]', '', 'g')) AS marks, length(x) - length(regexp_replace(x, '[|\x{bb}\x{2022}\x{b7}>]', '', 'g')) AS menu FROM u
+), good AS (SELECT r, sum(n) AS n FROM m
+  WHERE (regexp_matches(x, '@END@') OR n > 4) AND marks < 0.8 * n AND NOT (menu >= 3 AND menu >= 0.25 * n) AND NOT regexp_matches(x, '@BOILER@') GROUP BY r
+), b AS (
+  SELECT w.r, doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+    coalesce(cov.n, 0)::BIGINT AS n_repeat_words, coalesce(good.n, 0)::BIGINT AS n_left_words
+  FROM w LEFT JOIN cov ON cov.r = w.r LEFT JOIN good ON good.r = w.r
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_left_words >= 0.5 * n_words AS kept, n_left_words FROM b
+"""

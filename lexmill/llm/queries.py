@@ -33,4 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
-SQL: dict[str, str] = {"op6_ngram_jaccard": oracle.OP6, "op10_exact_dedup": oracle.OP10}
+SQL: dict[str, str] = {
+    "op7_line_quality": oracle.OP7.replace("@END@", line_quality.END.replace("'", r"\x27")).replace("@BOILER@", line_quality.BOILERPLATE),
+    "op6_ngram_jaccard": oracle.OP6, "op10_exact_dedup": oracle.OP10,
+}

@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Java and RE2 form of one run of ASCII white space.
 WS = r"[\x20\x09-\x0D]+"
@@ -105,3 +106,26 @@ def without_ids(docs: DataFrame, dropped: DataFrame, key: str, broadcast_rows: i
     gone = dropped.select(F.col(key).alias("__gone"))
     gone = F.broadcast(gone) if gone.count() <= broadcast_rows else gone
     return docs.join(gone, docs[key] == gone["__gone"], "left_anti")
+
+
+def running_sum(ws: Workspace, rows: DataFrame, group: list[str], order: list[str], value: str, name: str, per_part: int = 100_000) -> DataFrame:
+    """``rows`` with ``before``: the sum of ``value`` over the rows of the group that come earlier in ``order``.
+
+    Rows are sorted once over all partitions by group and order, so a hot group
+    spreads over many partitions. Only one sum per partition and group passes
+    through the window over partitions.
+    """
+    parts = max(1, min(10_000, rows.count() // per_part + 1))
+    keys = [F.col(c) for c in [*group, *order]]
+    placed = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id())
+    placed = ws.table(placed, name).withColumn("__part", F.shiftright("__at", 33))
+    sums = placed.groupBy("__part", *group).agg(F.sum(value).alias("__sum"))
+    earlier = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("__base", F.coalesce(F.sum("__sum").over(earlier), F.lit(0))).drop("__sum")
+    sums = sums.select(F.col("__part").alias("__p"), *[F.col(c).alias(f"__g{i}") for i, c in enumerate(group)], "__base")
+    same = placed["__part"] == sums["__p"]
+    for i, c in enumerate(group):
+        same = same & placed[c].eqNullSafe(sums[f"__g{i}"])
+    inside = Window.partitionBy("__part", *group).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    within = placed.join(sums, same).withColumn("__own", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return within.withColumn("before", (F.col("__base") + F.col("__own")).cast("long")).select(*rows.columns, "before")

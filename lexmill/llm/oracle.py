@@ -45,3 +45,23 @@ WITH w AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_left_words >= 0.5 * n_words AS kept, n_left_words FROM b
 """
+
+OP1 = r"""
+WITH d AS (
+  SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size,
+    (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u FROM documents
+), q AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1.0::DOUBLE ELSE 0.25::DOUBLE END) AS weight FROM labels WHERE quality IS NOT NULL GROUP BY doc_id
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, ([1, 2, 3])[((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1)::INT] AS w FROM d GROUP BY source
+), o AS (
+  SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (ORDER BY 3 * source_size / w::DOUBLE, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining,
+    sum(w) OVER (ORDER BY 3 * source_size / w::DOUBLE, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight FROM s
+), l AS (SELECT remaining::DOUBLE / open_weight::DOUBLE AS level FROM o WHERE remaining::DOUBLE / open_weight::DOUBLE <= 3 * source_size / w::DOUBLE ORDER BY 3 * source_size / w::DOUBLE, source LIMIT 1
+), t AS (SELECT source, source_size, least((SELECT level FROM l) * w, (3 * source_size)::DOUBLE) AS target FROM s
+), p AS (
+  SELECT d.doc_id, d.size, d.source, source_size, target,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY -ln(u) / coalesce(weight, 0.5::DOUBLE), d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN q ON q.doc_id = d.doc_id
+), e AS (SELECT *, floor(target + 0.5)::BIGINT AS whole, CASE WHEN source_size > 0 THEN floor(target + 0.5)::BIGINT // source_size ELSE 0 END AS epochs FROM p)
+SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, whole - epochs * source_size - before)))::BIGINT AS taken, source FROM e
+"""

@@ -7,13 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import exact_dedup, line_quality, ngram_join, oracle
+from lexmill.llm import exact_dedup, line_quality, mixing, ngram_join, oracle, packing, repair, sharding
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return mixing.mix(_documents(spark, sf_dir), mixing.label_weights(labels)).drop("text_hash")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), with_ids=False)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.read(repair.write(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json")))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(_documents(spark, sf_dir))
 
@@ -22,18 +41,28 @@ def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.judge(_documents(spark, sf_dir)).drop("clean_text")
 
 
+def op8_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(_documents(spark, sf_dir))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.dedup(_documents(spark, sf_dir))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mix": op1_source_mix,
+    "op2_packing": op2_packing,
+    "op3_token_files": op3_token_files,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_line_quality": op7_line_quality,
+    "op8_histogram_sort": op8_histogram_sort,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 SQL: dict[str, str] = {
+    "op1_source_mix": oracle.OP1,
     "op7_line_quality": oracle.OP7.replace("@END@", line_quality.END.replace("'", r"\x27")).replace("@BOILER@", line_quality.BOILERPLATE),
     "op6_ngram_jaccard": oracle.OP6, "op10_exact_dedup": oracle.OP10,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import exact_dedup, line_quality, mixing, ngram_join, oracle, packing, repair, sharding
+from lexmill.llm import exact_dedup, line_quality, mixing, ngram_join, oracle, packing, pii, repair, sharding, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read(repair.write(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json")))
 
 
+def op4_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.sanitise(_documents(spark, sf_dir), with_text=False)
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(_documents(spark, sf_dir))
 
@@ -46,6 +50,11 @@ def op8_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.dedup(_documents(spark, sf_dir))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -55,9 +64,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mix": op1_source_mix,
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
+    "op4_sanitise": op4_sanitise,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_line_quality": op7_line_quality,
     "op8_histogram_sort": op8_histogram_sort,
+    "op9_toxicity": op9_toxicity,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

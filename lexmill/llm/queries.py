@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm import exact_dedup, line_quality, mixing, ngram_join, oracle, packing, pii, repair, sharding, toxicity
+from lexmill.llm import exact_dedup, line_quality, lm_scoring, mixing, ngram_join, oracle, packing, pii, repair, sharding, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op4_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.sanitise(_documents(spark, sf_dir), with_text=False)
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    return lm_scoring.score(docs, lm_scoring.train(docs))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(_documents(spark, sf_dir))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_token_files": op3_token_files,
     "op4_sanitise": op4_sanitise,
+    "op5_lm_score": op5_lm_score,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_line_quality": op7_line_quality,
     "op8_histogram_sort": op8_histogram_sort,

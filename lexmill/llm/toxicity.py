@@ -20,7 +20,7 @@ SEEDS = {
     REPORT: "said says say told called calls calling wrote writes quoted quote quotes claimed claims alleged reported reportedly according sagte sagt dijo dice dit disait selon según",
     THREAT: "kill murder hurt destroy strangle stab shoot burn beat smash punch slaughter töten umbringen tuer frapper matar golpear",
 }
-EDGE = ".,;:!?\"'()[]{}<>|*_-"
+EDGE = ".,;:!?\"'()[]{}<>|*_#$%&~=+/-"
 #: What the grammar tells apart in a clause.
 MATCHES = ("insult", "targeted", "negated", "reported", "threat")
 #: Weights before any label is seen; labels move them from here.

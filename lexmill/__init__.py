@@ -1,0 +1 @@
+"""Document-corpus analytics on Spark: stages from DataFrame to DataFrame."""

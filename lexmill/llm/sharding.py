@@ -64,6 +64,8 @@ def splitters(rows: DataFrame, shards: int, tolerance: float = 0.005) -> list[Sp
     unless a group exceeds ten times the tolerance; then it is cut by ``doc_id``.
     """
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    if not total:
+        return []
     near, group = tolerance * total / shards, 10 * tolerance * total / shards
     goals = {k: total * k / shards for k in range(1, shards)}
     done: dict[int, Splitter] = {}

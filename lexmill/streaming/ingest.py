@@ -36,20 +36,24 @@ def drop_repeats(rows: DataFrame, keys: list[str]) -> DataFrame:
 STATE = "digest string, n_clean long, n_raw long"
 
 
-def dedup_stream(rows: DataFrame, rule: DedupRule = DedupRule(), keep_minutes: int = 24 * 60) -> DataFrame:
+def dedup_stream(rows: DataFrame, rule: DedupRule = DedupRule(), keep_minutes: int = 24 * 60, delay: str = "10 minutes") -> DataFrame:
     """Kept snapshots of measured rows (see ``operators.dedup.measured``) by a state per page.
 
-    The state is the last kept snapshot's measures; it goes ``keep_minutes``
-    after the page was last seen, after which a snapshot counts as new.
+    The state is the last kept snapshot's measures; it goes when the watermark
+    passes ``keep_minutes`` after the page's last snapshot, and a later one
+    counts as new.
     """
+    rows = with_event_time(rows.withColumn("stream_time", F.timestamp_micros((F.col("epoch_ticks") * 1_000_000).cast("long"))), "stream_time", delay)
 
     def step(key: tuple[str], frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
+        latest = 0
         last: Any = (bytes.fromhex(state.get[0]), state.get[1], state.get[2]) if state.exists else None
         for frame in frames:
             frame = frame.sort_values(["epoch_ticks", "stream_id"])
+            latest = max(latest, int(frame["epoch_ticks"].max() * 1000))
             kept = []
             for sid, digest, clean, raw in zip(frame["stream_id"], frame["digest"], frame["n_clean"], frame["n_raw"], strict=True):
                 new = (bytes.fromhex(digest), int(clean), int(raw))
@@ -59,9 +63,9 @@ def dedup_stream(rows: DataFrame, rule: DedupRule = DedupRule(), keep_minutes: i
             yield pd.DataFrame({"stream_id": pd.Series(kept, dtype=object)})
         if last is not None:
             state.update((last[0].hex(), last[1], last[2]))
-            state.setTimeoutDuration(keep_minutes * 60_000)
+            state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + keep_minutes * 60_000)
 
-    return rows.groupBy("doc_id").applyInPandasWithState(step, "stream_id string", STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return rows.groupBy("doc_id").applyInPandasWithState(step, "stream_id string", STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def write_stream(rows: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:

@@ -57,12 +57,12 @@ def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("target_id string, mention string, file_name string, entity_type string").csv(path, sep="\t")
 
 
-KBA = "doc_id string, source string, abs_url string, epoch_ticks double, title string, anchor string, body string, _corrupt_record string"
+SOCIAL = "doc_id string, source string, abs_url string, epoch_ticks double, title string, anchor string, body string, _corrupt_record string"
 
 
 def read_social_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Items and other content of gzipped JSON lines of social posts; lines that are no JSON or not social are left out."""
-    rows = spark.read.schema(KBA).option("mode", "PERMISSIVE").json(path).where("_corrupt_record is null and source = 'social' and abs_url is not null").drop("_corrupt_record")
+    rows = spark.read.schema(SOCIAL).option("mode", "PERMISSIVE").json(path).where("_corrupt_record is null and source = 'social' and abs_url is not null").drop("_corrupt_record")
     paragraph = lambda c: F.when(F.length(c) > 0, F.concat(F.lit("<p>"), F.col(c), F.lit("</p>"))).otherwise(F.lit(""))
     page = F.concat(paragraph("anchor"), paragraph("title"), F.coalesce("body", F.lit("")))
     items = project.with_identity(rows.withColumns({"raw": F.encode(page, "UTF-8"), "media_type": F.lit("text/html"), "encoding": F.lit("UTF-8")}), url="abs_url", epoch=F.col("epoch_ticks"))

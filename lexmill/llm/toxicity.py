@@ -192,15 +192,24 @@ def _features(texts: DataFrame, model: Model) -> DataFrame:
 
 
 def _fit(model: Model, x: np.ndarray, y: np.ndarray, strength: float = 2.0) -> None:
-    """Newton steps for the logistic loss with a Gaussian prior around the given weights."""
+    """Newton steps, halved while they don't lower it, for the logistic loss with a Gaussian prior around the given weights."""
     x1 = np.column_stack([x, np.ones(len(x))])
     start = np.append(PRIOR, -2.0)
     w, precision = start.copy(), np.diag(np.append(np.full(len(PRIOR), strength), 1e-3))
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
+
+    def loss(v: np.ndarray) -> float:
+        z = x1 @ v
+        return float(np.logaddexp(0, z).sum() - y @ z + (v - start) @ precision @ (v - start) / 2)
+
+    for _ in range(50):
+        z = x1 @ w
+        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         step = np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + precision, x1.T @ (p - y) + precision @ (w - start))
-        w -= step
-        if np.abs(step).max() < 1e-8:
+        size, now = 1.0, loss(w)
+        while size > 1e-6 and loss(w - size * step) > now:
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
     model.weights, model.bias = w[:-1], float(w[-1])
 

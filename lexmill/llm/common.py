@@ -129,3 +129,16 @@ def running_sum(ws: Workspace, rows: DataFrame, group: list[str], order: list[st
     inside = Window.partitionBy("__part", *group).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
     within = placed.join(sums, same).withColumn("__own", F.coalesce(F.sum(value).over(inside), F.lit(0)))
     return within.withColumn("before", (F.col("__base") + F.col("__own")).cast("long")).select(*rows.columns, "before")
+
+
+def bit_filter(rows: DataFrame, wanted: DataFrame, keys: list[str], bits: int = 1 << 24) -> DataFrame:
+    """``rows`` whose ``keys`` may be in ``wanted``; no wanted row is lost.
+
+    The filter has one bit per hash of the keys and is broadcast as words of 64
+    bits: 16 bytes a word, 4 MB at most, whatever the number of keys. It keeps
+    rows that cannot match out of a shuffle.
+    """
+    slot = F.pmod(F.xxhash64(*keys), F.lit(bits))
+    words_ = wanted.select(slot.alias("__slot")).groupBy(F.shiftright("__slot", 6).alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(__slot & 63 as int))")).alias("__bits"))
+    marked = rows.withColumn("__slot", slot).withColumn("__word", F.shiftright("__slot", 6))
+    return marked.join(F.broadcast(words_), "__word").where("(shiftright(__bits, cast(__slot & 63 as int)) & 1) = 1").select(*rows.columns)

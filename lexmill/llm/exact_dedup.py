@@ -7,10 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import WS, Workspace, skew_lookup, without_ids
-
-#: Bits of the filter over digests that occur more than once (a broadcast of at most 16 bytes per 64 bits: 4 MB).
-FILTER_BITS = 1 << 24
+from lexmill.llm.common import WS, Workspace, bit_filter, skew_lookup, without_ids
 
 
 def normalised(text: Column) -> Column:
@@ -22,10 +19,6 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def _slot(digest: Column) -> Column:
-    return F.pmod(F.xxhash64(digest), F.lit(FILTER_BITS))
-
-
 def dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, digest``.
 
@@ -67,14 +60,7 @@ def dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataF
 
 def _verify(ws: Workspace, rows: DataFrame, hits: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Digests of ``hits`` under which there is more than one text, as a written table."""
-    bits = hits.select(_slot(F.col("digest")).alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
-    passed = (
-        rows.select(digest(F.col("norm")).alias("digest"), "norm")
-        .withColumn("slot", _slot(F.col("digest")))
-        .withColumn("word", F.shiftright("slot", 6))
-        .join(F.broadcast(bits), "word")
-        .where("(shiftright(bits, cast(slot & 63 as int)) & 1) = 1")
-    )
+    passed = bit_filter(rows.select(digest(F.col("norm")).alias("digest"), "norm"), hits, ["digest"])
     spread = passed.groupBy("digest").agg(F.min("norm").alias("low"), F.max("norm").alias("high")).where("low <> high").select("digest")
     return ws.table(spread, "differing")
 

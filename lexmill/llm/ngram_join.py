@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import Workspace, lower_ascii, skew_lookup, without_ids, words
+from lexmill.llm.common import Workspace, bit_filter, lower_ascii, skew_lookup, without_ids, words
 
 #: Bits for the set size in a packed node; a larger size is stored as this and gets no length filter.
 SIZE_BITS = 20
@@ -146,7 +146,7 @@ def similar(docs: DataFrame, rule: Jaccard = Jaccard()) -> Links:
     partial = a.join(b, "gram").where((F.col("a") < F.col("b")) & near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
     need = F.ceil((small + large) * rule.num / F.lit(float(rule.num + rule.den)) - F.lit(1e-9))
     candidates = ws.table(partial.where((large == SIZE_MAX) | (F.col("c") + _least(large, rule) - 1 >= need)).select("a", "b"), "candidates")
-    return Links(members=_members(thin, nodes), nodes=nodes, links=ws.table(_overlaps(ws, candidates, keyed, own, repeats, rule), "links"), total=thin.count(), ws=ws)
+    return Links(members=_members(thin, nodes), nodes=nodes, links=ws.table(_overlaps(ws, candidates, keyed, own, rule), "links"), total=thin.count(), ws=ws)
 
 
 def _members(thin: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -155,7 +155,7 @@ def _members(thin: DataFrame, nodes: DataFrame) -> DataFrame:
     return skew_lookup(thin, index, ["h1", "h2"], "n_docs", total).select("doc_id", F.col("n").alias("n_shingles"), "node", "smallest", "n_docs")
 
 
-def _overlaps(ws: Workspace, candidates: DataFrame, keyed: DataFrame, own: DataFrame, repeats: bool, rule: Jaccard) -> DataFrame:
+def _overlaps(ws: Workspace, candidates: DataFrame, keyed: DataFrame, own: DataFrame, rule: Jaccard) -> DataFrame:
     """The candidates that are links, with their exact overlap."""
     star = candidates.groupBy("b").agg(F.min("a").alias("hub"))
     pairs = candidates.join(star.select(F.col("b").alias("a"), "hub"), "a", "left").withColumn("hub", F.coalesce("hub", "a"))
@@ -163,10 +163,10 @@ def _overlaps(ws: Workspace, candidates: DataFrame, keyed: DataFrame, own: DataF
     cell = lambda x: F.pmod(F.hash(x), F.col("k"))
     pairs = ws.table(pairs.join(spread, "hub").select("hub", "a", "b", cell("a").alias("i"), cell("b").alias("j")).select("hub", "a", "b", "i", "j"), "blocks")
     ends = pairs.select("hub", "i", "j", F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = ws.table(ends.select("node").distinct().join(own, "node"), "wanted")
-    fetched = keyed.select("key", "h1", "h2", "grams").join(F.broadcast(wanted) if wanted.count() <= 200_000 else wanted, ["key", "h1", "h2"]).select("node", "grams")
-    fetched = ws.table(fetched.dropDuplicates(["node"]) if repeats else fetched, "sets")
-    blocks = ends.join(fetched, "node").groupBy("hub", "i", "j").agg(F.collect_list(F.struct("node", "grams")).alias("sets"))
+    wanted = ws.table(ends.join(own, "node"), "wanted")
+    sets = bit_filter(keyed.select("key", "h1", "h2", "grams"), wanted, ["key", "h1", "h2"])
+    near = sets.join(F.broadcast(wanted) if wanted.count() <= 200_000 else wanted, ["key", "h1", "h2"])
+    blocks = near.groupBy("hub", "i", "j").agg(F.collect_list(F.struct("node", "grams")).alias("sets"))
     of = lambda x: F.filter("sets", lambda s: s["node"] == F.col(x))[0]["grams"]
     counted = pairs.join(blocks, ["hub", "i", "j"]).select("a", "b", F.size(of("a")).alias("na"), F.size(of("b")).alias("nb"), F.size(F.array_intersect(of("a"), of("b"))).cast("long").alias("overlap"))
     return counted.where(F.col("overlap") * rule.den >= rule.num * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b", "overlap")

@@ -14,8 +14,8 @@ from lexmill.llm.common import Workspace, bit_filter, lower_ascii, skew_lookup,
 #: Bits for the set size in a packed node; a larger size is stored as this and gets no length filter.
 SIZE_BITS = 20
 SIZE_MAX = (1 << SIZE_BITS) - 1
-#: Counters of the frequency sketch. One bit of each reaches the tasks: 128 KB.
-SKETCH_BITS = 20
+#: Counters of the frequency sketch. One bit of each reaches the tasks: 32 KB, which is also part of the plans that the driver holds.
+SKETCH_BITS = 18
 #: Stands for a null ``doc_id`` where documents are looked up.
 NULL_KEY = -(1 << 63)
 #: Set members of one block in the exact count.
@@ -130,10 +130,18 @@ def similar(docs: DataFrame, rule: Jaccard = Jaccard()) -> Links:
     frequent = _frequent(sets)
 
     def prefix(grams: Column) -> Column:
+        # Each filter is bound by a transform, so that it runs once. The start of the order nearly always suffices.
         length = (F.size(grams) - _least(F.size(grams).cast("long"), rule) + 1).cast("int")
-        rare = F.filter(grams, lambda g: ~frequent(g))
-        rest = F.filter(grams, frequent)
-        return F.slice(F.when(F.size(rare) >= length, rare).otherwise(F.concat(rare, rest)), F.lit(1), length)
+
+        def whole(rare: Column) -> Column:
+            return F.slice(F.when(F.size(rare) >= length, rare).otherwise(F.concat(rare, F.filter(grams, frequent))), F.lit(1), length)
+
+        def start(rare: Column) -> Column:
+            rest = F.transform(F.array(F.filter(grams, lambda g: ~frequent(g))), whole)[0]
+            return F.when(F.size(rare) >= length, F.slice(rare, F.lit(1), length)).otherwise(rest)
+
+        head = F.slice(grams, F.lit(1), F.least(F.size(grams), length + F.floor(length / 2).cast("int") + 8))
+        return F.transform(F.array(F.filter(head, lambda g: ~frequent(g))), start)[0]
 
     own = nodes.select("h1", "h2", "key", "node")
     repeats = thin.select("key", "h1", "h2").distinct().count() < thin.count()

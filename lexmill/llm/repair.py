@@ -42,7 +42,7 @@ def compress(ids: np.ndarray, barred: int, rounds: int = 4, per_round: int = 400
     largest id, and has two earlier symbols. Each round replaces the most
     frequent neighbouring pairs from left to right; ``barred``, which ends
     documents, never enters a rule, so no rule crosses a document. Pairs are
-    counted by slots first, and only those of full slots by themselves.
+    counted by slots first, and only those of the fullest slots by themselves.
     """
     base = int(ids.max(initial=0)) + 1
     narrow = base < SYMBOLS_16
@@ -57,7 +57,8 @@ def compress(ids: np.ndarray, barred: int, rounds: int = 4, per_round: int = 400
         key, slot = _keys(symbols, barred)
         counts = np.bincount(slot, minlength=1 << 20)
         counts[0] = 0
-        found, n = np.unique(key[(counts >= least)[slot]], return_counts=True)
+        full = max(least, int(np.partition(counts, -2 * per_round)[-2 * per_round]))
+        found, n = np.unique(key[(counts >= full)[slot]], return_counts=True)
         found = found[np.lexsort((found, -n))[: min(per_round, free, int((n >= least).sum()))]]
         if not len(found):
             break

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import array
 import json
 import os
 import re
@@ -9,8 +10,8 @@ from pathlib import Path
 
 import numpy as np
 
-#: A word of Latin letters and the marks behind it: two pieces for every vocabulary handled here.
-_PLAIN = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?|]*)")
+#: A word of Latin letters and the marks behind it, and perhaps the same on a next line: pre-tokens for every vocabulary handled here.
+_PLAIN = re.compile(r"([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?|]*)(?:\n([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?|]*))?")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _encoders: dict[tuple[str, int], Encoder] = {}
 
@@ -26,7 +27,7 @@ class Encoder:
     tokenizer, are encoded whole.
     """
 
-    def __init__(self, path: str, entries: int = 250_000) -> None:
+    def __init__(self, path: str, entries: int = 350_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -45,15 +46,16 @@ class Encoder:
         self.parts: dict[str, bytes] = {}
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in printable]
-        self.byte_chars = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
+        self.byte_chars = {b: chr(256 + k) for k, b in enumerate(rest)}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _part(self, part: str) -> bytes:
         """Ids of one pre-token, straight from the merges."""
-        mapped = part if part.isascii() and " " not in part else "".join(map(self.byte_chars.__getitem__, part.encode()))
-        ids = self.parts[part] = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], "<u4").tobytes()
+        plain = part.isascii() and part != "\n"
+        mapped = part.replace(" ", self.byte_chars[32]) if plain else part.encode().decode("latin-1").translate(self.byte_chars)
+        ids = self.parts[part] = array.array("I", [t.id for t in self.tokenizer.model.tokenize(mapped)]).tobytes()
         return ids
 
     def _pieces(self, pieces: list[str], lead: str) -> list[bytes]:
@@ -63,10 +65,17 @@ class Encoder:
         get, low, out, odd = self.parts.get, self.kind == "word", [], []
         for k, p in enumerate(pieces):
             if m := _PLAIN.fullmatch(p):
-                word, marks = m.groups()
+                word, marks, word2, marks2 = m.groups()
                 word = word.lower() if low else lead + word
                 ids = get(word) or self._part(word)
-                out.append(ids + (get(marks) or self._part(marks)) if marks else ids)
+                if marks:
+                    ids += get(marks) or self._part(marks)
+                if word2:
+                    # A line feed between words is a token of its own, and the next word has no space before it.
+                    ids += (get("\n") or self._part("\n")) + (get(word2) or self._part(word2))
+                    if marks2:
+                        ids += get(marks2) or self._part(marks2)
+                out.append(ids)
             else:
                 odd.append(k)
                 out.append(b"")
@@ -75,18 +84,15 @@ class Encoder:
         return out
 
     def _learn(self, pieces: set[str]) -> None:
-        missing = []
-        for p in pieces:
-            if p not in self.new:
-                if p in self.old:
-                    self.new[p] = self.old[p]
-                else:
-                    missing.append(p)
+        unseen = pieces.difference(self.new)
+        again = unseen.intersection(self.old)
+        self.new.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        missing = list(unseen.difference(again))
         if self.kind == "byte":
             # A piece that has white space at an end means spacing for which pieces are no unit.
-            for p in [p for p in missing if not p or p[0].isspace() or p[-1].isspace()]:
-                self.new[p] = None
-            missing = [p for p in missing if p not in self.new]
+            odd = {p for p in missing if p != p.strip() or not p}
+            self.new.update(dict.fromkeys(odd))
+            missing = [p for p in missing if p not in odd] if odd else missing
             self.new.update(zip(missing, self._pieces(missing, " "), strict=True))
         else:
             self.new.update(zip(missing, self._pieces(missing, ""), strict=True))
@@ -129,7 +135,7 @@ class Encoder:
         return [self.heads[p] for p in firsts]
 
 
-def encoder(path: str, entries: int = 250_000) -> Encoder:
+def encoder(path: str, entries: int = 350_000) -> Encoder:
     """The worker's encoder of a file; its cache outlives a task."""
     if (path, entries) not in _encoders:
         _encoders[path, entries] = Encoder(path, entries)

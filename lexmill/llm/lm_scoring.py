@@ -6,7 +6,7 @@ import json
 import mmap
 import os
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +22,8 @@ from lexmill.llm.elias_fano import EliasFano
 END = np.uint64(xxhash.xxh64_intdigest(b""))
 #: Keys that a task holds before it sends sorted runs, and tokens that are scored at once.
 HELD, CHUNK = 4_000_000, 1_000_000
-#: Steps of a quantised probability per power of ten; 16 bits reach 10 ** -16.
-STEPS = 4096.0
-#: Training tokens behind one file of the second level.
-SHARD_TOKENS = 8_000_000
+#: Training tokens behind one file of the second level, and of each level above, whose n-grams repeat less.
+SHARD_TOKENS, UPPER_TOKENS = 8_000_000, 4_000_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -108,7 +106,8 @@ def _count(docs: DataFrame, keys_of: Callable[[np.ndarray, np.ndarray], np.ndarr
             return _runs(key[first], np.add.reduceat(n, first), shard_of(key[first]))
 
         for _, hashes, starts in _chunks(batches, 0, CHUNK):
-            held.append(np.unique(keys_of(hashes, starts), return_counts=True))
+            if len(keys := keys_of(hashes, starts)):
+                held.append(np.unique(keys, return_counts=True))
             if sum(len(k) for k, _ in held) >= HELD:
                 yield flush()
         if held:
@@ -157,23 +156,32 @@ class Trie:
 
     Level 1, ``words-k``: the hashes of the words whose top bits are k, as an
     Elias-Fano sequence, and their counts. A word's id is its place.
-    Level 2, ``pairs-k``: successors of all contexts, for the successors whose
-    ids hash to k, so no context's row is in one file alone. Elias-Fano pointers
-    give a context's row; ids in it are added to the last value of the row
-    before, which makes one monotone sequence; 16-bit codes hold the smoothed
-    log10 probabilities.
+    Level n, ``grams-n-k``: successors of all contexts of n - 1 words, for the
+    successors whose ids hash to k, so no context's row is in one file alone. A
+    context of one word is its id, a longer one the id of its n-gram on the
+    level below: the place there after the n-grams of the files before.
+    Elias-Fano pointers give a context's row; ids in it are added to the last
+    value of the row before, which makes one monotone sequence; counts are kept
+    in as few bytes as the largest of a file needs.
     """
 
     folder: str
     bits: int
     offsets: tuple[int, ...]
-    pair_files: int
     tokens: int
     types: int
     concentration: float
+    #: For each level from the second on, the id of the first n-gram of each file.
+    grams: tuple[tuple[int, ...], ...] = ()
 
-    def words(self) -> Words:
-        return Words(self)
+    @property
+    def order(self) -> int:
+        return 1 + len(self.grams)
+
+    @property
+    def word_bits(self) -> int:
+        """Low bits of an n-gram's key, for the last word; the context has the rest."""
+        return max(1, self.types.bit_length())
 
 
 class Words:
@@ -207,43 +215,34 @@ class Words:
                 counts[part] = np.where(known, file[1][np.maximum(place, 0)], 0)
         return ids[back], counts[back]
 
-    def counts(self, ids: np.ndarray) -> np.ndarray:
-        """Counts of known ids."""
-        offsets = np.array(self.trie.offsets)
-        shard = np.searchsorted(offsets, ids, "right") - 1
-        out = np.zeros(len(ids), np.int64)
-        for k in np.unique(shard).tolist():
-            own = shard == k
-            out[own] = self._file(k)[1][ids[own] - offsets[k]]
-        return out
-
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         """log10 of the additive unigram probability."""
         return np.log10((counts + 0.1) / (self.trie.tokens + 0.1 * (self.trie.types + 1)))
 
 
-def _pair_shard(pair: np.ndarray, files: int) -> np.ndarray:
-    mixed = (pair & np.uint64(0xFFFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)
+def _gram_shard(word: np.ndarray, files: int) -> np.ndarray:
+    mixed = word.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return ((mixed >> np.uint64(33)) % np.uint64(files)).astype(np.int32)
 
 
-def _before(ids: np.ndarray, starts: np.ndarray, end: int) -> np.ndarray:
-    """The id before each token; a text follows an end."""
-    out = np.empty_like(ids)
-    out[1:] = ids[:-1]
-    out[starts[:-1]] = end
+def _shifted(values: np.ndarray, starts: np.ndarray, first: int) -> np.ndarray:
+    """The value before each token; a text's first token has ``first``."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[starts[:-1]] = first
     return out
 
 
-def train(docs: DataFrame, concentration: float = 50.0) -> Trie:
-    """Count the training documents and write both levels under the shared folder.
+def train(docs: DataFrame, concentration: float = 50.0, order: int = 2) -> Trie:
+    """Count the training documents and write ``order`` levels under the shared folder.
 
-    Both counts run over the whole training texts. Tasks send sorted, compact
-    runs of keys; each file of a level is merged and written by one task from
-    its runs, and the number of files follows the number of documents and
-    tokens, so a file's size is bounded. Up to 2 ** 32 word types fit a pair.
-    A pair's probability is smoothed with the unigram probability by a
-    Dirichlet prior of ``concentration`` words.
+    All counts run over the whole training texts and keep every n-gram. Tasks
+    send sorted, compact runs of keys; each file of a level is merged and
+    written by one task from its runs, and the number of files follows the
+    number of documents and tokens, so a file's size is bounded. A key of 64
+    bits holds a context's id and a word's id. A probability is smoothed with
+    that of the context without its first word by a Dirichlet prior of
+    ``concentration`` words, a pair's with the unigram probability.
     """
     spark = docs.sparkSession
     small_arrow_batches(spark)
@@ -267,75 +266,133 @@ def train(docs: DataFrame, concentration: float = 50.0) -> Trie:
         offsets.append(at)
         at += sizes.get(k, 0)
     n = sum(r["tokens"] for r in words)
-    files = max(1, -(-n // SHARD_TOKENS))
-    trie = Trie(folder, bits, tuple(offsets), files, n, at, concentration)
-
-    def pairs(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        level = _level1(trie)
-        ids, _ = level.ids(hashes)
-        end = int(level.ids(np.array([END]))[0][0])
-        return _before(ids, starts, end).astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64)
-
-    def write_pairs(key: tuple, group: pa.Table) -> pa.Table:
-        pair, counts = _merged(group)
-        _save(f"{folder}/pairs-{key[0].as_py()}", *_pair_level(pair, counts, _level1(trie)))
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "pairs": [len(pair)]})
-
-    runs = _count(learned, pairs, lambda k: _pair_shard(k, files))
-    ws.table(runs.groupBy("shard").applyInArrow(write_pairs, "shard int, pairs long"), "pairs")
+    trie = Trie(folder, bits, tuple(offsets), n, at, concentration)
+    for level in range(2, order + 1):
+        trie = _add_level(ws, learned, trie, level)
     return trie
 
 
-_open: dict[str, Words] = {}
+def _add_level(ws: Workspace, learned: DataFrame, trie: Trie, n: int) -> Trie:
+    """The trie with level ``n``, counted with the ids of the levels below."""
+    contexts = trie.grams[-1][-1] if trie.grams else trie.types
+    if contexts.bit_length() + trie.word_bits > 64:
+        raise ValueError(f"{contexts} contexts and {trie.types} words don't fit a key of level {n}")
+    files = max(1, -(-trie.tokens // (SHARD_TOKENS if n == 2 else UPPER_TOKENS)))
+    shift = np.uint64(trie.word_bits)
 
+    def keys(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        levels = _levels(trie)
+        ids, counts = levels.words.ids(hashes)
+        *_, (context, _, _) = levels.walk(ids, counts, starts, n)
+        known = np.flatnonzero(context >= 0)
+        return context[known].astype(np.uint64) << shift | ids[known].astype(np.uint64)
 
-def _level1(trie: Trie) -> Words:
-    """The worker's mapping of a trie's words."""
-    if trie.folder not in _open:
-        _open.clear()
-        _open[trie.folder] = Words(trie)
-    return _open[trie.folder]
+    def write(key: tuple, group: pa.Table) -> pa.Table:
+        gram, counts = _merged(group)
+        _save(f"{trie.folder}/grams-{n}-{key[0].as_py()}", *_gram_level(gram >> shift, gram & (np.uint64(1) << shift) - np.uint64(1), counts))
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "grams": [len(gram)]})
 
+    runs = _count(learned, keys, lambda k: _gram_shard(k & (np.uint64(1) << shift) - np.uint64(1), files))
+    rows = ws.table(runs.groupBy("shard").applyInArrow(write, "shard int, grams long"), f"grams-{n}").collect()
+    sizes = {r["shard"]: r["grams"] for r in rows}
+    return replace(trie, grams=(*trie.grams, tuple(np.cumsum([0, *(sizes.get(k, 0) for k in range(files))]).tolist())))
 
-def _pair_level(pair: np.ndarray, counts: np.ndarray, words: Words) -> tuple[dict[str, np.ndarray], dict]:
-    context, word = (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+def _gram_level(context: np.ndarray, word: np.ndarray, counts: np.ndarray) -> tuple[dict[str, np.ndarray], dict]:
+    word = word.astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
-    last = np.concatenate([first[1:], [len(pair)]]) - 1
+    last = np.concatenate([first[1:], [len(word)]]) - 1
     bases = np.concatenate([[0], np.cumsum(word[last] + 1)[:-1]])
     monotone = word + np.repeat(bases, last - first + 1)
-    mu = words.trie.concentration
-    p = (counts + mu * 10 ** words.unigram(words.counts(word))) / (words.counts(context) + mu)
-    code = np.minimum(np.round(-np.log10(p) * STEPS), 65535).astype(np.uint16)
-    arrays, meta = {"code": code}, {}
-    for name, values in (("context", context[first]), ("pointer", np.append(first, len(pair))), ("base", bases), ("next", monotone)):
+    arrays, meta = {"counts": counts.astype(np.min_scalar_type(int(counts.max())))}, {}
+    for name, values in (("context", context[first]), ("pointer", np.append(first, len(word))), ("base", bases), ("next", monotone)):
         a, m = _ef(name, EliasFano.build(values.astype(np.uint64)))
         arrays |= a
         meta |= m
     return arrays, meta
 
 
-class Pairs:
-    """One file of level 2 in use."""
+class Grams:
+    """One file of an upper level in use."""
 
     def __init__(self, path: str) -> None:
         arrays, meta = _load(path)
-        self.code = arrays["code"]
+        self.counts = arrays["counts"]
         self.context, self.pointer, self.base, self.next = (_un_ef(n, arrays, meta) for n in ("context", "pointer", "base", "next"))
 
-    def codes(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Code of each pair, -1 where it was not seen: a successor search relative to the context's row."""
+    def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Place of each n-gram, -1 where it was not seen: a successor search relative to the context's row. Contexts are sorted."""
         out = np.full(len(word), -1, np.int64)
-        contexts, back = np.unique(context, return_inverse=True)
-        row = self.context.find(contexts)
+        new = np.concatenate([[True], context[1:] != context[:-1]])
+        back = np.cumsum(new) - 1
+        row = self.context.find(context[new])
         known = np.maximum(row, 0)
         first, stop, base = self.pointer.get(known).astype(np.int64), self.pointer.get(known + 1).astype(np.int64), self.base.get(known)
         ok = np.flatnonzero(row[back] >= 0)
         at = back[ok]
-        place = self.next.find(base[at] + word[ok].astype(np.uint64), first[at], stop[at])
-        out[ok] = np.where(place >= 0, self.code[np.maximum(place, 0)].astype(np.int64), -1)
+        out[ok] = self.next.find(base[at] + word[ok], first[at], stop[at])
         return out
 
 
+class Levels:
+    """All levels in use."""
+
+    def __init__(self, trie: Trie) -> None:
+        self.trie, self.words, self.files = trie, Words(trie), {}
+        end, count = self.words.ids(np.array([END]))
+        self.end, self.end_count = int(end[0]), int(count[0])
+
+    def _file(self, n: int, k: int) -> Grams | None:
+        if (n, k) not in self.files:
+            path = f"{self.trie.folder}/grams-{n}-{k}"
+            self.files[n, k] = Grams(path) if os.path.exists(path) else None
+        return self.files[n, k]
+
+    def find(self, n: int, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Id (-1 if unseen) and count (0) of each n-gram; each is looked up once."""
+        shift, offsets = np.uint64(self.trie.word_bits), self.trie.grams[n - 2]
+        key, back = np.unique(context.astype(np.uint64) << shift | word.astype(np.uint64), return_inverse=True)
+        context, word = key >> shift, key & (np.uint64(1) << shift) - np.uint64(1)
+        ids, counts = np.full(len(key), -1, np.int64), np.zeros(len(key), np.int64)
+        shard = _gram_shard(word, len(offsets) - 1)
+        order = np.argsort(shard, kind="stable")
+        for own in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
+            if len(own) and (file := self._file(n, k := int(shard[own[0]]))):
+                place = file.find(context[own], word[own])
+                ids[own] = np.where(place >= 0, place + offsets[k], -1)
+                counts[own] = np.where(place >= 0, file.counts[np.maximum(place, 0)], 0)
+        return ids[back], counts[back]
+
+    def walk(self, ids: np.ndarray, counts: np.ndarray, starts: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each n from 2 to ``order``: id (-1 if none) and count of each token's context of n - 1 words, and count of its n-gram.
+
+        A text follows an end, and no context reaches further back. The n-grams
+        of a level that is not written yet count 0.
+        """
+        first, first_count = self.end, self.end_count
+        for n in range(2, order + 1):
+            context, seen = _shifted(ids if n == 2 else gram, starts, first), _shifted(counts, starts, first_count)
+            # an n-gram was seen only if its context and its last n - 1 words were
+            ok = np.flatnonzero((context >= 0) & ((ids if n == 2 else gram) >= 0))
+            gram, counts = np.full(len(ids), -1, np.int64), np.zeros(len(ids), np.int64)
+            if n <= self.trie.order and len(ok):
+                gram[ok], counts[ok] = self.find(n, context[ok], ids[ok])
+            yield context, seen, counts
+            first, first_count = -1, 0
+
+
+_open: dict[tuple[str, int], Levels] = {}
+
+
+def _levels(trie: Trie) -> Levels:
+    """The worker's mapping of a trie."""
+    key = trie.folder, trie.order
+    if key not in _open:
+        _open.clear()
+        _open[key] = Levels(trie)
+    return _open[key]
+
+
 def score(docs: DataFrame, trie: Trie) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -344,34 +401,17 @@ def score(docs: DataFrame, trie: Trie) -> DataFrame:
     end. Repeated rows are scored one by one; other columns are ignored.
     """
     small_arrow_batches(docs.sparkSession)
-    files: dict[int, Pairs | None] = {}
     out = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = _level1(trie)
-        end = int(level.ids(np.array([END]))[0][0])
+        levels, mu = _levels(trie), trie.concentration
         for held, hashes, starts in _chunks(batches, 2, CHUNK):
-            ids, counts = level.ids(hashes)
-            base = level.unigram(counts)
-            before, seen = _before(ids, starts, end), np.zeros(len(ids), np.int64)
-            seen[1:] = counts[:-1]
-            seen[starts[:-1]] = level.counts(np.array([end]))[0] if end >= 0 else 0
-            mu = trie.concentration
-            logs = base + np.log10(mu / (seen + mu))
-            pair = np.flatnonzero((before >= 0) & (ids >= 0))
-            shard = _pair_shard(ids[pair].astype(np.uint64), trie.pair_files)
-            order = np.argsort(shard, kind="stable")
-            pair, shard = pair[order], shard[order]
-            for part in np.split(np.arange(len(pair)), np.flatnonzero(np.diff(shard)) + 1):
-                if len(part):
-                    k = int(shard[part[0]])
-                    if k not in files:
-                        path = f"{trie.folder}/pairs-{k}"
-                        files[k] = Pairs(path) if os.path.exists(path) else None
-                    if files[k]:
-                        at = pair[part]
-                        code = files[k].codes(before[at].astype(np.uint64), ids[at])
-                        logs[at] = np.where(code >= 0, -code / STEPS, logs[at])
+            ids, counts = levels.words.ids(hashes)
+            base = levels.words.unigram(counts)
+            p = 10**base
+            for _, seen, number in levels.walk(ids, counts, starts, trie.order):
+                p = (number + mu * p) / (seen + mu)
+            logs = np.log10(p)
             sums = [np.add.reduceat(x, starts[:-1]) for x in ((counts > 0).astype(np.int64), base, logs)]
             table = pa.Table.from_batches(held)
             n = len(starts) - 1

@@ -39,7 +39,7 @@ def op4_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
-    return lm_scoring.score(docs, lm_scoring.train(docs))
+    return lm_scoring.score(docs, lm_scoring.train(docs, order=3))
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -317,6 +317,36 @@ def test_lm_scores(docs):
     assert {r["train_tokens"] for r in got} == {n}
 
 
+@pytest.mark.parametrize("order", [3, 4])
+def test_lm_scores_of_longer_contexts(spark, order):
+    rng = random.Random(5)
+    shared = " ".join(rng.choice("abcdefgh") for _ in range(300))
+    rows = [(k, t, "s") for k, t in enumerate([" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(40))) for _ in range(60)] + [shared] * 15 + [None, "", "a", "new words only"])]
+    docs = frame(spark, rows).repartition(3)
+    got = {r["doc_id"]: r for r in lm_scoring.score(docs, lm_scoring.train(docs, order=order)).collect()}
+    toks = lambda t: [*(t or "").split(), ""]
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    seen, follow = Counter(), Counter()
+    for _, t, _ in (r for r in rows if not held(r[0])):
+        ws = ["", *toks(t)]
+        for k in range(1, len(ws)):
+            for n in range(min(order - 1, k) + 1):
+                seen[tuple(ws[k - n : k + 1])] += 1
+                follow[tuple(ws[k - n : k])] += 1
+    types = len([g for g in seen if len(g) == 1])
+
+    def p(ws):
+        if len(ws) == 1:
+            return (seen[ws] + 0.1) / (follow[()] + 0.1 * (types + 1))
+        return (seen[ws] + 50 * p(ws[1:])) / (follow[ws[:-1]] + 50)
+
+    assert any(seen[g] > 5 for g in seen if len(g) == order) and len({held(i) for i, _, _ in rows}) == 2
+    for i, t, _ in rows:
+        ws = ["", *toks(t)]
+        want = sum(np.log10(p(tuple(ws[max(0, k - order + 1) : k + 1]))) for k in range(1, len(ws)))
+        assert abs(got[i]["score"] - want) < 2e-4 * len(ws), (i, got[i]["score"], want)
+
+
 def test_toxicity_grammar_and_learning(spark):
     model = toxicity.Model({"idiot$": 5.0}, toxicity.PRIOR.copy(), -2.0)
     match = lambda t: dict(zip(toxicity.MATCHES, model.features(t), strict=True))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import WS_CHARS, Workspace, small_arrow_batches
+from lexmill.llm.common import WS, WS_CHARS, Workspace, bit_filter, small_arrow_batches
 
 KINDS = ("email", "ip", "card", "phone", "term")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -30,18 +30,18 @@ class Disclosure:
     """When a term counts as giving an entity away.
 
     A term is judged by its share of the entity's information,
-    ``log(N n_te / (n_t n_e)) / log(N / n_e)`` over lines: 1 for a term that
-    only occurs beside the entity, 0 for an unrelated one.
+    ``log(N p / n_e) / log(N / n_e)``, over lines and over documents, and the
+    larger counts: 1 for a term that only occurs beside the entity, 0 for an
+    unrelated one. ``p`` is the lower end of Wilson's interval for ``n_te / n_t``,
+    so a rare pair is judged too, by less than its plain share.
     """
 
     #: Share from which a term is generalised to the kind of what it reveals.
     generalise: float = 0.8
     #: Share from which it is removed.
     remove: float = 0.95
-    #: Different lines that must hold the term beside the entity. Copies of a line are no further evidence.
-    lines: int = 3
-    #: Letters of the shortest term that is looked at.
-    letters: int = 4
+    #: Half the interval's width in standard deviations. Copies of a line or text are no further evidence.
+    deviations: float = 1.96
 
 
 def _luhn(digits: str) -> bool:
@@ -103,17 +103,28 @@ def entity(text: str, span: tuple[int, int, int]) -> str:
     return f"{KINDS[k]}:{value}"
 
 
-def terms(line: str, letters: int) -> list[tuple[int, int, str]]:
-    """``(start, end, term)`` of the words of a line, edge marks and case aside, that are letters only."""
+def terms(line: str) -> list[tuple[int, int, str]]:
+    """``(start, end, term)`` of the words of a line, edge marks and case aside, that hold a letter or digit."""
     out = []
     for m in _WORD.finditer(line):
         bare = m[0].strip(_EDGE)
-        if len(bare) >= letters and bare.isalpha():
+        if any(map(str.isalnum, bare)):
             at = m.start() + m[0].find(bare)
             out.append((at, at + len(bare), bare.lower()))
     return out
 
 
+def _beside(text: str, spans: list[tuple[int, int, int]]) -> dict:
+    """What a line or text tells: its key, its entities, and its terms outside of them."""
+    data, words, at = text.encode(), set(), 0
+    for a, b, t in terms(text):
+        while at < len(spans) and spans[at][2] <= a:
+            at += 1
+        if at == len(spans) or spans[at][0] >= b:
+            words.add(t)
+    return {"unit": zlib.crc32(data) << 31 ^ zlib.adler32(data), "entities": sorted({entity(text, s) for s in spans}), "terms": sorted(words)}
+
+
 def _lines(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, str, list[tuple[int, int, int]]]]:
     """Start, text and spans of each line in which a span starts."""
     at = 0
@@ -128,10 +139,13 @@ def _lines(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int,
         at = stop
 
 
-def _scan(docs: DataFrame, rule: Disclosure) -> DataFrame:
-    """``doc_id, spans, n, lines, beside``: base spans, the number of lines, and the terms beside each entity."""
-    beside = pa.list_(pa.struct([("entity", pa.string()), ("line", pa.int64()), ("terms", pa.list_(pa.string()))]))
-    out = pa.schema([("doc_id", pa.int64()), ("spans", pa.string()), ("counts", pa.list_(pa.int64())), ("lines", pa.int64()), ("beside", beside)])
+_BESIDE = "array<struct<unit: long, entities: array<string>, terms: array<string>>>"
+
+
+def _scan(docs: DataFrame) -> DataFrame:
+    """``doc_id, spans, counts, lines, by_line, by_text``: base spans, the number of lines, and the terms beside entities."""
+    beside = pa.list_(pa.struct([("unit", pa.int64()), ("entities", pa.list_(pa.string())), ("terms", pa.list_(pa.string()))]))
+    out = pa.schema([("doc_id", pa.int64()), ("spans", pa.string()), ("counts", pa.list_(pa.int64())), ("lines", pa.int64()), ("by_line", beside), ("by_text", beside)])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,51 +153,52 @@ def _scan(docs: DataFrame, rule: Disclosure) -> DataFrame:
             for doc_id, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
                 text = text or ""
                 spans = base_spans(text)
-                near = []
-                for begin, line, own in _lines(text, spans):
-                    key = zlib.crc32(line.encode()) << 31 ^ zlib.adler32(line.encode())
-                    taken = [(a - begin, b - begin) for a, _, b in own]
-                    words = sorted({t for a, b, t in terms(line, rule.letters) if not any(a < y and x < b for x, y in taken)})
-                    near += [{"entity": e, "line": key, "terms": words} for e in sorted({entity(text, s) for s in own})]
-                values = (doc_id, joined(spans), [sum(k == kind for _, k, _ in spans) for kind in range(4)], text.count("\n") + 1, near)
+                near = [_beside(line, [(a - begin, k, b - begin) for a, k, b in own]) for begin, line, own in _lines(text, spans)]
+                values = (doc_id, joined(spans), [sum(k == kind for _, k, _ in spans) for kind in range(4)], text.count("\n") + 1, near, [_beside(text, spans)] if spans else [])
                 for column, value in zip(columns, values, strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, out.types, strict=True)], schema=out)
 
-    kinds = "doc_id long, spans string, counts array<long>, lines long, beside array<struct<entity: string, line: long, terms: array<string>>>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, kinds)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(scan, f"doc_id long, spans string, counts array<long>, lines long, by_line {_BESIDE}, by_text {_BESIDE}")
+
+
+def _unit_counts(docs: DataFrame, wanted: DataFrame, by: str) -> DataFrame:
+    """``term, n_t``: lines or texts of the corpus that hold each wanted term."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    unit = F.explode(F.split(text, "\n")) if by == "by_line" else text
+    word = F.explode(F.array_distinct(F.transform(F.split("unit", WS), lambda w: F.lower(F.btrim(w, F.lit(_EDGE))))))
+    counted = bit_filter(docs.select(unit.alias("unit")).select(word.alias("term")), wanted, ["term"])
+    return counted.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")).join(wanted, "term", "left_semi")
 
 
-def _line_counts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``term, n_t``: lines of the corpus that hold each wanted term."""
-    line = F.explode(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"))
-    word = F.explode(F.array_distinct(F.transform(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: F.lower(F.btrim(w, F.lit(_EDGE))))))
-    counted = docs.select(line.alias("line")).select(word.alias("term"))
-    few = wanted.count() <= 100_000
-    return counted.join(F.broadcast(wanted) if few else wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+def _shares(ws: Workspace, found: DataFrame, docs: DataFrame, rule: Disclosure, by: str) -> DataFrame:
+    """``entity, term, share`` of the terms that give an entity away, by lines or by texts."""
+    units = found.select(F.explode(by).alias("b")).select("b.unit", F.explode("b.entities").alias("entity"), "b.terms")
+    by_entity = units.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
+    each = units.select("entity", "unit", F.explode("terms").alias("term")).groupBy("entity", "term", "unit").agg(F.count(F.lit(1)).alias("n"))
+    joint = each.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("different"))
+    joint = ws.table(joint.join(by_entity, "entity"), f"joint-{by}")
+    wanted = ws.table(joint.select("term").distinct(), f"terms-{by}")
+    total = found.agg(F.coalesce(F.sum("lines") if by == "by_line" else F.count(F.lit(1)), F.lit(0))).first()[0]
+    n_t = F.greatest(F.coalesce("n_t", "n_te"), "n_te")
+    p, z = F.col("n_te") / n_t, rule.deviations
+    m = F.col("different") / p
+    low = (p + z * z / (2 * m) - z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+    share = 1 + F.log(F.greatest(low, F.lit(1e-300))) / F.log(F.greatest(F.lit(2.0), F.lit(float(total)) / F.col("n_e")))
+    return joint.join(_unit_counts(docs, wanted, by), "term", "left").select("entity", "term", share.alias("share")).where(F.col("share") >= rule.generalise)
 
 
 def disclosing(ws: Workspace, found: DataFrame, docs: DataFrame, rule: Disclosure) -> DataFrame:
-    """``entity, term, share`` of the terms that give an entity away, from all lines of the corpus."""
-    pairs = found.select(F.explode("beside").alias("b")).select("b.entity", "b.line", "b.terms")
-    by_entity = pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    lines = pairs.select("entity", "line", F.explode("terms").alias("term")).groupBy("entity", "term", "line").agg(F.count(F.lit(1)).alias("n"))
-    joint = lines.groupBy("entity", "term").agg(F.sum("n").alias("n_te"), F.count(F.lit(1)).alias("different")).where(F.col("different") >= rule.lines)
-    joint = ws.table(joint.join(by_entity, "entity"), "joint")
-    wanted = ws.table(joint.select("term").distinct(), "terms")
-    total = found.agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]
-    if wanted.limit(1).count() == 0:
-        return joint.select("entity", "term", F.lit(0.0).alias("share"))
-    n_t = _line_counts(docs, wanted)
-    share = 1 - F.log(F.greatest(F.lit(1.0), F.col("n_t") / F.col("n_te"))) / F.log(F.greatest(F.lit(2.0), F.lit(float(total)) / F.col("n_e")))
-    return ws.table(joint.join(n_t, "term").select("entity", "term", share.alias("share")).where(F.col("share") >= rule.generalise), "disclosing")
+    """``entity, term, share`` of the terms that give an entity away, from all lines and texts of the corpus."""
+    both = _shares(ws, found, docs, rule, "by_line").unionByName(_shares(ws, found, docs, rule, "by_text"))
+    return ws.table(both.groupBy("entity", "term").agg(F.max("share").alias("share")), "disclosing")
 
 
 def sanitise(docs: DataFrame, rule: Disclosure = Disclosure(), with_text: bool = True) -> DataFrame:
     """One row per document: ``doc_id``, counts per kind, ``base_sha256, spans, n_term`` and the clean ``sanitised`` text.
 
     Patterns give the protected entities. The corpus tells, by how often a term
-    shares a line with an entity, how strongly it reveals it; such a term is a
+    shares a line or text with an entity, how strongly it reveals it; such a term is a
     ``term`` span wherever it occurs in a document that holds the entity, and
     is generalised or removed there like the entity itself. Each occurrence
     of a pattern match becomes its kind in brackets.
@@ -194,20 +209,24 @@ def sanitise(docs: DataFrame, rule: Disclosure = Disclosure(), with_text: bool =
     spark = docs.sparkSession
     small_arrow_batches(spark)
     ws = Workspace(spark, "pii")
-    found = ws.table(_scan(docs, rule), "found")
+    found = ws.table(_scan(docs), "found")
     revealed = disclosing(ws, found, docs, rule)
     some = revealed.limit(1).count() > 0
     kinds = [F.col("counts")[k].alias(f"n_{KINDS[k]}") for k in range(4)]
     if not some and not with_text:
         return found.select("doc_id", *kinds, F.sha2("spans", 256).alias("base_sha256"), "spans", F.lit(0).cast("long").alias("n_term"))
     if some:
-        held = found.select("doc_id", F.explode("beside").alias("b")).select("doc_id", "b.entity").distinct()
+        held = found.select("doc_id", F.explode("by_text").alias("b")).select("doc_id", F.explode("b.entities").alias("entity")).distinct()
         few = revealed.count() <= 200_000
-        told = held.join(F.broadcast(revealed) if few else revealed, "entity").groupBy("doc_id").agg(F.map_from_entries(F.collect_set(F.struct("term", "share"))).alias("told"))
-        spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
-        told = ws.table(told.withColumnRenamed("doc_id", "__id"), "told")
-        small = told.count() <= 100_000
-        rows = docs.join(F.broadcast(told) if small else told, docs["doc_id"].eqNullSafe(told["__id"]), "left").select(F.col("doc_id").cast("long"), "text", F.map_entries("told").alias("told"))
+        told = held.join(F.broadcast(revealed) if few else revealed, "entity").groupBy("doc_id", "term").agg(F.max("share").alias("share"))
+        told = told.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct(F.col("term").alias("key"), F.col("share").alias("value"))).alias("told"))
+        told = ws.table(told, "told")
+        ids = told.select("__id", F.lit(True).alias("__told"))
+        ids = F.broadcast(ids) if ids.count() <= 1_000_000 else ids
+        marked = docs.select(F.col("doc_id").cast("long"), "text").join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+        # only texts that hold an entity move to its terms
+        near = marked.where("__told").join(told.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__id"))).select("doc_id", "text", "told")
+        rows = near.unionByName(marked.where("__told is null").select("doc_id", "text", F.lit(None).cast(told.schema["told"].dataType).alias("told")))
     else:
         rows = docs.select(F.col("doc_id").cast("long"), "text", F.lit(None).cast("array<struct<key:string,value:double>>").alias("told"))
     return _finish(rows, rule, with_text)
@@ -225,7 +244,7 @@ def _finish(rows: DataFrame, rule: Disclosure, with_text: bool) -> DataFrame:
                 text = text or ""
                 base = base_spans(text)
                 shares = {t["key"]: t["value"] for t in told or ()}
-                extra = [(a, 4, b) for a, b, t in terms(text, rule.letters) if t in shares and not any(a < y and x < b for x, _, y in base)] if shares else []
+                extra = [(a, 4, b) for a, b, t in terms(text) if t in shares and not any(a < y and x < b for x, _, y in base)] if shares else []
                 spans = sorted(base + extra)
                 values = [doc_id, *(sum(k == kind for _, k, _ in base) for kind in range(4)), hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(extra)]
                 if with_text:

@@ -285,6 +285,17 @@ def test_sanitise(spark, docs):
     assert pii.sanitise(docs, with_text=False).count() == len(corpus()) and pii.sanitise(docs.limit(0)).count() == 0
 
 
+def test_rare_terms_give_an_entity_away(spark):
+    """Two texts, another line, a term with a digit and hyphen, and one of two letters; ids that are null."""
+    rows = [(1, "write to anna@x.org now\n\nsite K-9, by ox plain", "s"), (None, "anna@x.org wrote\nof ox and k-9 plain", "s")]
+    rows += [(10 + k, f"plain words to {k} here, now and of by site wrote write", "s") for k in range(1000)]
+    got = {r["doc_id"]: r for r in pii.sanitise(frame(spark, rows)).collect()}
+    assert len(got) == len(rows) and got[1]["n_term"] == got[None]["n_term"] == 2 and sum(r["n_term"] for r in got.values()) == 4
+    assert got[1]["sanitised"] == "write to [email] now\n\nsite [term], by [term] plain"
+    copies = [(k, rows[0][1], "s") for k in range(2)] + rows[2:]
+    assert {r["n_term"] for r in pii.sanitise(frame(spark, copies), with_text=False).collect()} == {0}
+
+
 def test_elias_fano():
     rng = np.random.default_rng(0)
     for v in (np.sort(rng.integers(0, 2**64 - 1, 3000, dtype=np.uint64)), np.sort(rng.integers(0, 50, 900, dtype=np.uint64)), np.array([0, 0, 7], np.uint64), np.array([], np.uint64)):

@@ -141,7 +141,7 @@ def filter_domains_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def id_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = document_items(spark, sf_dir)
     excluded = items.where("number = 5").select("stream_id")
-    kept = items.join(F.broadcast(excluded.limit(100_000)), "stream_id", "left_anti").where(F.col("source").isin("src1", "src2"))
+    kept = items.join(excluded, "stream_id", "left_anti").where(F.col("source").isin("src1", "src2"))
     return kept.select("number", "doc_id")
 
 

@@ -51,3 +51,10 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() == 20
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_id_filter_drops_any_number_of_items(spark, tmp_path):
+    source = "if(id < 100005, concat('x', id), 'src1') AS source"
+    docs = spark.range(0, 100_007, 1, 1).selectExpr("if(id = 100006, 6L, 5L) AS doc_id", "'text' AS text", "'en' AS lang", source)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert [r["number"] for r in QUERIES["id_filter"](spark, str(tmp_path)).collect()] == [6]

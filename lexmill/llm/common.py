@@ -108,6 +108,16 @@ def without_ids(docs: DataFrame, dropped: DataFrame, key: str, broadcast_rows: i
     return docs.join(gone, docs[key] == gone["__gone"], "left_anti")
 
 
+def without_rows(docs: DataFrame, gone: DataFrame, broadcast_rows: int = 500_000) -> DataFrame:
+    """Rows of ``docs`` that a written table ``__id, __hash`` of ids and text hashes does not list; null ids are compared as values.
+
+    Its rows have two longs, so up to ``broadcast_rows`` of them (16 MB) are
+    broadcast; a longer list is joined by shuffle.
+    """
+    gone = F.broadcast(gone) if gone.count() <= broadcast_rows else gone
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]) & (F.xxhash64(docs["text"]) == gone["__hash"]), "left_anti")
+
+
 def running_sum(ws: Workspace, rows: DataFrame, group: list[str], order: list[str], value: str, name: str, per_part: int = 100_000) -> DataFrame:
     """``rows`` with ``before``: the sum of ``value`` over the rows of the group that come earlier in ``order``.
 

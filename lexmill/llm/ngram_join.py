@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import Workspace, bit_filter, lower_ascii, skew_lookup, without_ids, words
-
-#: Bits for the set size in a packed node; a larger size is stored as this and gets no length filter.
-SIZE_BITS = 20
-SIZE_MAX = (1 << SIZE_BITS) - 1
-#: Counters of the frequency sketch. One bit of each reaches the tasks: 32 KB, which is also part of the plans that the driver holds.
-SKETCH_BITS = 18
+from lexmill.llm.common import Workspace, bit_filter, lower_ascii, skew_lookup, without_rows, words
+
+#: Bits of the filter of frequent grams; one literal of 128 KB in the tasks, whatever the corpus.
+FILTER_BITS = 20
+#: One of so many distinct texts is counted to find the frequent grams. They decide the order of grams, never a result.
+ORDER_SAMPLE = 16
+#: Grams before a frequent one that its entry carries, to know pairs that met already.
+BEFORE = 4
+#: Nodes of a block's side, and grams of a segment on average.
+BLOCK, SEGMENT = 64, 512
+#: Entries of one frequent gram that meet in one cell.
+CELL = 4096
+#: Bits of a node's packed numbers that count its frequent grams.
+HOT_BITS = 24
 #: Stands for a null ``doc_id`` where documents are looked up.
 NULL_KEY = -(1 << 63)
-#: Set members of one block in the exact count.
-BLOCK = 64
 
 
 @dataclass(frozen=True)
@@ -48,51 +52,67 @@ def shingles(text: Column, n: int = 3) -> Column:
     return F.sort_array(F.array_distinct(F.transform(F.array(word), windows)[0]))
 
 
-def _bucket(gram: Column) -> Column:
-    """Counter of a gram of the lower half of the order (negative hashes)."""
-    return F.shiftright(gram, 63 - SKETCH_BITS) + F.lit(1 << SKETCH_BITS)
-
+def _frequent(ws: Workspace, docs: DataFrame, rule: Jaccard) -> Callable[[Column], Column]:
+    """A test whether a gram is among the frequent ones, which come last in the order of grams.
 
-def _frequent(sets: DataFrame) -> Callable[[Column], Column]:
-    """A test whether a gram's counter is far above the rest.
-
-    Any total order of grams gives the same links; this one puts grams that
-    many documents share last, so that they seldom generate candidates. All
-    grams of the lower half of the hash order are counted (those of the upper
-    half come late anyway), and a counter stands out when it exceeds the mean
-    by 32 and by six standard deviations. What reaches the tasks is one bit a
-    counter, whatever the size of the corpus.
+    Any total order gives the same links; with this one, passages that many
+    documents share seldom generate candidates. Grams are counted exactly over
+    every ``ORDER_SAMPLE``-th distinct text (by hash). Frequent are those from
+    the least count on, 2 at least, with which they set at most an eighth of
+    the filter's bits.
     """
-    counts = sets.select(F.explode(F.filter("grams", lambda g: g < 0)).alias("g")).groupBy(_bucket(F.col("g")).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    counts = Workspace(sets.sparkSession, "ngram-sketch").table(counts, "counts")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    mean = total / (1 << SKETCH_BITS)
-    bits = (
-        counts.where(F.col("n") > mean + max(32.0, 6 * math.sqrt(mean)))
-        .groupBy(F.shiftright("b", 6).alias("w"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, b & 63)")).alias("bits"))
-        .collect()
-    )
-    table = dict((r["w"], r["bits"]) for r in bits)
-    if not table:
+    digest = F.xxhash64("text")
+    chosen = docs.select("text").where(F.pmod(digest, F.lit(ORDER_SAMPLE)) == 0).groupBy(digest.alias("t")).agg(F.first("text").alias("text"))
+    counts = chosen.select(F.explode(shingles(F.col("text"), rule.n)).alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counts = ws.table(counts, "frequent")
+    # steps of a quarter of a power of two: a few hundred rows, whatever the counts
+    step = F.floor(4 * F.log2("n")).cast("int")
+    sizes = {r["s"]: r["k"] for r in counts.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("k")).collect()}
+    room, least = 1 << (FILTER_BITS - 3), None
+    for s in sorted(sizes, reverse=True):
+        room -= sizes[s]
+        if room < 0:
+            break
+        least = s
+    if least is None:
         return lambda g: F.lit(False)
-    literal = F.split(F.lit(",".join(str(table.get(i, 0)) for i in range(1 << (SKETCH_BITS - 6)))), ",").cast("array<bigint>")
-    at = lambda g: _bucket(g).cast("int")
-    return lambda g: (g < 0) & (F.call_function("shiftright", F.get(literal, F.shiftright(at(g), 6)), at(g).bitwiseAND(63)).bitwiseAND(1) == 1)
+    slot = F.col("g").bitwiseAND((1 << FILTER_BITS) - 1).cast("int")
+    marked = counts.where(step >= least).select(slot.alias("b"))
+    bits = marked.groupBy(F.shiftright("b", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, b & 63)")).alias("bits")).collect()
+    table = {r["w"]: r["bits"] for r in bits}
+    literal = F.split(F.lit(",".join(str(table.get(i, 0)) for i in range(1 << (FILTER_BITS - 6)))), ",").cast("array<bigint>")
+    at = lambda g: g.bitwiseAND((1 << FILTER_BITS) - 1).cast("int")
+    return lambda g: F.call_function("shiftright", F.get(literal, F.shiftright(at(g), 6)), at(g).bitwiseAND(63)).bitwiseAND(1) == 1
 
 
 def _least(n: Column, rule: Jaccard) -> Column:
     """The smallest overlap that a set of n needs with any partner."""
-    return F.ceil(n * rule.num / F.lit(float(rule.den)) - F.lit(1e-9)).cast("long")
+    return F.floor((n.cast("long") * rule.num + (rule.den - 1)) / F.lit(rule.den)).cast("long")
+
+
+def _prefix(grams: Column, rule: Jaccard, frequent: Callable[[Column], Column]) -> Column:
+    """The first ``n - least + 1`` grams of the order: ``rare`` ones by hash, then ``hot`` ones by hash."""
+    length = (F.size(grams) - _least(F.size(grams), rule) + 1).cast("int")
+
+    def both(rare: Column, hot: Column) -> Column:
+        return F.struct(F.slice(rare, F.lit(1), length).alias("rare"), F.slice(hot, F.lit(1), F.greatest(length - F.size(rare), F.lit(0))).alias("hot"))
 
+    def whole(rare: Column) -> Column:
+        return both(rare, F.filter(grams, frequent))
 
-def _size(x: Column) -> Column:
-    return x.bitwiseAND(SIZE_MAX)
+    def start(rare: Column) -> Column:
+        # The start of the hash order nearly always has rare grams enough. Filters are bound by a transform, so that they run once.
+        none = F.array().cast("array<bigint>")
+        rest = F.transform(F.array(F.filter(grams, lambda g: ~frequent(g))), whole)[0]
+        return F.when(F.size(rare) >= length, both(rare, none)).otherwise(rest)
+
+    head = F.slice(grams, F.lit(1), F.least(F.size(grams), length + F.floor(length / 2).cast("int") + 8))
+    return F.transform(F.array(F.filter(head, lambda g: ~frequent(g))), start)[0]
 
 
 @dataclass
 class Links:
-    """``members`` (doc_id, n_shingles, node), ``nodes`` (node, smallest, n_docs), ``links`` (a < b, overlap)."""
+    """``members`` (doc_id, text_hash, n_shingles, node, first, n_docs), ``nodes`` (node, first, n_docs, h1, h2), ``links`` (a, b, overlap)."""
 
     members: DataFrame
     nodes: DataFrame
@@ -105,90 +125,136 @@ def similar(docs: DataFrame, rule: Jaccard = Jaccard()) -> Links:
     """All links between documents whose shingle sets have at least the given Jaccard similarity.
 
     Documents with equal sets form a node, so copies are never compared with
-    each other. Nodes are linked by vertical partitioning:
-
-    1. The global order of grams is cut into fragments, one per shuffle
-       partition. A node sends each gram of its prefix (the first
-       ``n - least + 1`` grams, of which linked nodes share one) to the gram's
-       fragment; each fragment counts the overlap of the pairs that meet there,
-       and the partial counts are summed per pair.
-    2. A pair stays a candidate if the summed prefix overlap and the grams
-       behind the prefix could reach the overlap that the similarity needs.
-    3. Candidates are counted exactly. They are laid into blocks of about
-       ``BLOCK`` x ``BLOCK`` nodes around the smallest neighbour, so a large
-       group of near copies sends each set to a few blocks, not to each pair.
+    each other. The global order of grams puts frequent ones last.
+
+    1. Every text is shingled once; the first ``n - least + 1`` grams of its
+       set are written. Linked nodes share one of them.
+    2. Nodes meet in the grams of these prefixes, and a pair stays a candidate
+       if the grams that it may share could reach the overlap it needs. At a
+       frequent gram a pair is passed on only when it did not meet at one of
+       the grams just before; a very frequent gram is spread over cells.
+    3. The global order is cut into fragments by its leading bits, for long
+       sets into more, so that a segment (a set's grams in a fragment) is
+       bounded. Each fragment counts the partial overlap of the candidates by
+       itself, and the partial overlaps are summed per pair: that sum decides.
 
     Null and blank texts have an empty set and no links. Repeated rows are
     members of one node. Other columns of ``docs`` are ignored.
     """
     ws = Workspace(docs.sparkSession, "ngram-join")
-    sets = docs.select("doc_id", shingles(F.col("text"), rule.n).alias("grams"))
-    keyed = sets.withColumn("key", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY))).withColumn("h1", F.xxhash64("grams")).withColumn("h2", F.xxhash64(F.lit(1), "grams"))
-    thin = ws.table(keyed.select("doc_id", "key", "h1", "h2", F.size("grams").cast("long").alias("n")), "thin")
-    nodes = thin.where("n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("smallest"), F.min("key").alias("key"), F.count(F.lit(1)).alias("n_docs"))
-    nodes = ws.table(nodes.withColumn("node", F.shiftleft(F.monotonically_increasing_id(), SIZE_BITS) + F.least("n", F.lit(SIZE_MAX))), "nodes")
-    frequent = _frequent(sets)
-
-    def prefix(grams: Column) -> Column:
-        # Each filter is bound by a transform, so that it runs once. The start of the order nearly always suffices.
-        length = (F.size(grams) - _least(F.size(grams).cast("long"), rule) + 1).cast("int")
-
-        def whole(rare: Column) -> Column:
-            return F.slice(F.when(F.size(rare) >= length, rare).otherwise(F.concat(rare, F.filter(grams, frequent))), F.lit(1), length)
-
-        def start(rare: Column) -> Column:
-            rest = F.transform(F.array(F.filter(grams, lambda g: ~frequent(g))), whole)[0]
-            return F.when(F.size(rare) >= length, F.slice(rare, F.lit(1), length)).otherwise(rest)
-
-        head = F.slice(grams, F.lit(1), F.least(F.size(grams), length + F.floor(length / 2).cast("int") + 8))
-        return F.transform(F.array(F.filter(head, lambda g: ~frequent(g))), start)[0]
-
-    own = nodes.select("h1", "h2", "key", "node")
-    repeats = thin.select("key", "h1", "h2").distinct().count() < thin.count()
-    prefixes = keyed.where(F.size("grams") > 0).select("key", "h1", "h2", F.transform(F.array("grams"), prefix)[0].alias("prefix")).join(own, ["key", "h1", "h2"]).select("node", "prefix")
-    prefixes = (prefixes.dropDuplicates(["node"]) if repeats else prefixes).select("node", F.explode("prefix").alias("gram"))
-
-    a, b = prefixes.select(F.col("node").alias("a"), "gram"), prefixes.select(F.col("node").alias("b"), "gram")
-    small, large = F.least(_size(F.col("a")), _size(F.col("b"))), F.greatest(_size(F.col("a")), _size(F.col("b")))
-    near = (large == SIZE_MAX) | (small * rule.den >= large * rule.num)
-    partial = a.join(b, "gram").where((F.col("a") < F.col("b")) & near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
-    need = F.ceil((small + large) * rule.num / F.lit(float(rule.num + rule.den)) - F.lit(1e-9))
-    candidates = ws.table(partial.where((large == SIZE_MAX) | (F.col("c") + _least(large, rule) - 1 >= need)).select("a", "b"), "candidates")
-    return Links(members=_members(thin, nodes), nodes=nodes, links=ws.table(_overlaps(ws, candidates, keyed, own, rule), "links"), total=thin.count(), ws=ws)
-
-
-def _members(thin: DataFrame, nodes: DataFrame) -> DataFrame:
-    total = thin.count()
-    index = nodes.select("h1", "h2", "node", "smallest", "n_docs")
-    return skew_lookup(thin, index, ["h1", "h2"], "n_docs", total).select("doc_id", F.col("n").alias("n_shingles"), "node", "smallest", "n_docs")
-
-
-def _overlaps(ws: Workspace, candidates: DataFrame, keyed: DataFrame, own: DataFrame, rule: Jaccard) -> DataFrame:
-    """The candidates that are links, with their exact overlap."""
+    frequent = _frequent(ws, docs, rule)
+    sets = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), shingles(F.col("text"), rule.n).alias("grams"))
+    made = sets.select("doc_id", "text_hash", F.xxhash64("grams").alias("h1"), F.xxhash64(F.lit(1), "grams").alias("h2"), F.size("grams").alias("n"), F.transform(F.array("grams"), lambda g: _prefix(g, rule, frequent))[0].alias("p"), F.monotonically_increasing_id().alias("rid"))
+    rows = ws.table(made.select("doc_id", "text_hash", "h1", "h2", "n", "p.rare", "p.hot", "rid"), "prefixes")
+    first = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    nodes = rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(first).alias("first"), F.min("rid").alias("node"), F.count(F.lit(1)).alias("n_docs"))
+    nodes = ws.table(nodes, "nodes")
+    total = rows.count()
+    candidates = _candidates(ws, rows, nodes, rule)
+    links = ws.table(_overlaps(ws, candidates, docs, nodes, rule), "links")
+    index = nodes.select("h1", "h2", "node", "first", "n_docs")
+    members = skew_lookup(rows.select("doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "h1", "h2"), index, ["h1", "h2"], "n_docs", total).drop("h1", "h2")
+    members = ws.table(members, "members")
+    ws.drop("prefixes")
+    return Links(members, nodes, links, total, ws)
+
+
+def _candidates(ws: Workspace, rows: DataFrame, nodes: DataFrame, rule: Jaccard) -> DataFrame:
+    """``a, b, na, nb`` of the pairs of nodes that meet in their prefixes and may be links, as a written table."""
+    copies = rows.where("n > 0").count() - nodes.count()
+    own = rows.where("n > 0")
+    if copies:
+        own = own.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
+    own = own.select(F.col("rid").alias("node"), F.shiftleft(F.col("n").cast("long"), HOT_BITS).bitwiseOR(F.least(F.size("hot"), F.lit((1 << HOT_BITS) - 1))).alias("m"), "rare", "hot")
+    size, hots = lambda c: F.shiftright(c, HOT_BITS), lambda c: F.col(c).bitwiseAND((1 << HOT_BITS) - 1)
+    small, large = F.least(size("ma"), size("mb")), F.greatest(size("ma"), size("mb"))
+    near = (F.col("a") < F.col("b")) & (small * rule.den >= large * rule.num)
+
+    def side(df: DataFrame, name: str, *extra: Column) -> DataFrame:
+        return df.select(F.col("node").alias(name), F.col("m").alias(f"m{name}"), "gram", *extra)
+
+    rare = own.select("node", "m", F.explode("rare").alias("gram"))
+    met = side(rare, "a").join(side(rare, "b"), "gram").where(near).select("a", "b", "ma", "mb", F.lit(1).alias("c"))
+
+    hot = own.where(F.size("hot") > 0).select("node", "m", "hot", F.posexplode("hot").alias("at", "gram"))
+    before = F.slice("hot", F.greatest(F.lit(1), F.col("at") + 1 - BEFORE), F.least(F.col("at"), F.lit(BEFORE)))
+    hot = hot.select("node", "m", "gram", before.alias("before"))
+    big = ws.table(hot.groupBy("gram").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") > CELL).select("gram", F.ceil(F.col("f") / CELL).cast("int").alias("k")), "cells")
+    hot = hot.join(big, "gram", "left").withColumn("k", F.coalesce("k", F.lit(1))).withColumn("own", F.pmod(F.hash("node"), F.col("k")))
+    # a pair meets in the cell of its nodes' numbers, the lesser first
+    left = hot.select("*", F.explode(F.sequence(F.col("own") * 0, F.col("k") - 1)).alias("other"))
+    cell = (F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    a, b = side(left, "a", *cell, F.col("before").alias("before_a"), F.col("own").alias("own_a")), side(left, "b", *cell, F.col("before").alias("before_b"), F.col("own").alias("own_b"))
+    there = (F.least("own_a", "own_b") == F.col("i")) & (F.greatest("own_a", "own_b") == F.col("j"))
+    again = a.join(b, ["gram", "i", "j"]).where(near & there & ~F.arrays_overlap("before_a", "before_b")).select("a", "b", "ma", "mb", F.lit(0).alias("c"))
+
+    need = F.floor(((small + large) * rule.num + (rule.num + rule.den - 1)) / F.lit(rule.num + rule.den))
+    full = F.greatest(hots("ma"), hots("mb")) == (1 << HOT_BITS) - 1
+    summed = met.unionByName(again).groupBy("a", "b", "ma", "mb").agg(F.sum("c").alias("c"))
+    kept = summed.where(full | (F.col("c") + F.least(hots("ma"), hots("mb")) + _least(large, rule) - 1 >= need))
+    return ws.table(kept.select("a", "b", size("ma").alias("na"), size("mb").alias("nb")), "candidates")
+
+
+def _segments(grams: Column, e: Column) -> Column:
+    """The ``2 ** e`` parts of a sorted set by the leading bits of the grams."""
+    number = lambda g: (F.call_function("shiftright", g, F.lit(64) - e) + F.call_function("shiftleft", F.lit(1).cast("long"), e - 1)).cast("int")
+    all_ = F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), e) - 1)
+    few = F.transform(all_, lambda f: F.filter(grams, lambda g: number(g) == f))
+    # For many parts, their bounds are sorted among the grams, which gives the place of each.
+    row = lambda v, mark: F.struct(v.cast("int").alias("v"), F.lit(mark).alias("m"))
+    sorted_ = F.array_sort(F.concat(F.transform(all_, lambda f: row(f, 0)), F.transform(grams, lambda g: row(number(g), 1))))
+    marks = F.filter(F.transform(sorted_, lambda x, i: F.when(x["m"] == 0, i)), lambda i: i.isNotNull())
+
+    def cut(place: Column) -> Column:
+        ends = F.concat(F.slice(place, F.lit(2), F.size(place) - 1), F.array(F.size(grams) + F.size(place)))
+        return F.transform(place, lambda p, f: F.slice(grams, p - f + 1, F.get(ends, f) - p - 1))
+
+    return F.when(e <= 4, few).otherwise(F.transform(F.array(marks), cut)[0])
+
+
+def _overlaps(ws: Workspace, candidates: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Jaccard) -> DataFrame:
+    """``a, b, overlap`` of the candidates that are links, summed from the partial overlaps of the fragments.
+
+    Candidates are laid into blocks of about ``BLOCK`` x ``BLOCK`` nodes around
+    the smallest neighbour, so that a large group of near copies sends each
+    segment to a few blocks and not to each pair.
+    """
+    e = F.greatest(F.lit(2), F.ceil(F.log2(F.greatest("na", "nb") / F.lit(float(SEGMENT))))).cast("int")
     star = candidates.groupBy("b").agg(F.min("a").alias("hub"))
-    pairs = candidates.join(star.select(F.col("b").alias("a"), "hub"), "a", "left").withColumn("hub", F.coalesce("hub", "a"))
+    pairs = candidates.withColumn("e", e).join(star.select(F.col("b").alias("a"), "hub"), "a", "left").withColumn("hub", F.coalesce("hub", "a"))
     spread = pairs.groupBy("hub").agg(F.greatest(F.lit(1), F.ceil(F.sqrt(2.0 * F.count(F.lit(1))) / BLOCK)).cast("int").alias("k"))
     cell = lambda x: F.pmod(F.hash(x), F.col("k"))
-    pairs = ws.table(pairs.join(spread, "hub").select("hub", "a", "b", cell("a").alias("i"), cell("b").alias("j")).select("hub", "a", "b", "i", "j"), "blocks")
-    ends = pairs.select("hub", "i", "j", F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = ws.table(ends.join(own, "node"), "wanted")
-    sets = bit_filter(keyed.select("key", "h1", "h2", "grams"), wanted, ["key", "h1", "h2"])
-    near = sets.join(F.broadcast(wanted) if wanted.count() <= 200_000 else wanted, ["key", "h1", "h2"])
-    blocks = near.groupBy("hub", "i", "j").agg(F.collect_list(F.struct("node", "grams")).alias("sets"))
-    of = lambda x: F.filter("sets", lambda s: s["node"] == F.col(x))[0]["grams"]
-    counted = pairs.join(blocks, ["hub", "i", "j"]).select("a", "b", F.size(of("a")).alias("na"), F.size(of("b")).alias("nb"), F.size(F.array_intersect(of("a"), of("b"))).cast("long").alias("overlap"))
+    pairs = ws.table(pairs.join(spread, "hub").select("hub", "a", "b", "na", "nb", "e", cell("a").alias("i"), cell("b").alias("j")), "blocks")
+
+    ends = pairs.select("hub", "i", "j", "e", F.explode(F.array("a", "b")).alias("node")).distinct()
+    whose = nodes.select("node", F.coalesce(F.col("first.id").cast("long"), F.lit(NULL_KEY)).alias("key"), F.col("first.hash").alias("text_hash"))
+    wanted = ws.table(ends.join(whose, "node"), "wanted")
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)).alias("key"), F.xxhash64("text").alias("text_hash"), "text")
+    # only the texts of candidates are read as sets once more; of repeated rows any one serves
+    near = bit_filter(keyed, wanted, ["key", "text_hash"]).select("key", "text_hash", shingles(F.col("text"), rule.n).alias("grams"))
+    one = wanted.groupBy("key", "text_hash").agg(F.collect_set(F.struct("hub", "i", "j", "e", "node")).alias("places"))
+    placed = near.join(one, ["key", "text_hash"]).select("grams", F.explode("places").alias("p")).select("p.*", F.posexplode(_segments(F.col("grams"), F.col("p.e"))).alias("f", "segment"))
+    blocks = placed.groupBy("hub", "i", "j", "e", "f").agg(F.collect_list(F.struct("node", "segment")).alias("s"))
+    blocks = blocks.select("hub", "i", "j", "e", "f", F.col("s.node").alias("nodes"), F.col("s.segment").alias("segments"))
+    lists = pairs.groupBy("hub", "i", "j", "e").agg(F.collect_list(F.struct("a", "b", "na", "nb")).alias("pairs"))
+    lists = lists.select("*", F.explode(F.sequence(F.lit(0), F.call_function("shiftleft", F.lit(1), F.col("e")) - 1)).alias("f"))
+    met = lists.join(blocks, ["hub", "i", "j", "e", "f"]).select("nodes", "segments", F.explode("pairs").alias("p"))
+    of = lambda x: F.get("segments", (F.array_position("nodes", F.col(f"p.{x}")) - 1).cast("int"))
+    partial = met.select("p.*", F.size(F.array_intersect(of("a"), of("b"))).cast("long").alias("c")).where("c > 0")
+    counted = partial.groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("overlap"))
     return counted.where(F.col("overlap") * rule.den >= rule.num * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b", "overlap")
 
 
-def components(ws: Workspace, links: DataFrame) -> DataFrame:
+def components(ws: Workspace, links: DataFrame, rounds: int = 200) -> DataFrame:
     """``node, root`` for every node of a link: connected components by large-star and small-star rounds.
 
     Each round is written to the shared folder; the number of rounds grows with
     the logarithm of the longest path. Hubs cost one aggregated row per task.
+    Components that still change after ``rounds`` raise an error.
     """
     edges = ws.table(links.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "edges0")
     before = None
-    for step in range(1, 200):
+    for step in range(1, rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("m").alias("u"), "v").where("u <> v").distinct()
@@ -198,41 +264,51 @@ def components(ws: Workspace, links: DataFrame) -> DataFrame:
         small = down.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("x"), F.col("m").alias("y")), F.struct(F.col("u").alias("x"), F.col("m").alias("y")))).alias("e"))
         edges = ws.table(small.where("e.x <> e.y").select(F.col("e.y").alias("u"), F.col("e.x").alias("v")).distinct(), f"edges{step}")
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        ws.drop(f"large{step}")
+        ws.drop(f"edges{step - 1}")
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components still change after {rounds} rounds")
     star = edges.groupBy("v").agg(F.min("u").alias("root"))
     return star.select(F.col("v").alias("node"), "root").unionByName(star.select(F.col("root").alias("node"), "root").distinct())
 
 
+def _linked(docs: DataFrame, rule: Jaccard) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, node, first, n_docs, degree, component``: ``component`` is the first member that links reach."""
+    found = similar(docs, rule)
+    ends = found.links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(found.links.select(F.col("b").alias("node"), F.col("a").alias("other")))
+    sizes = found.nodes.select(F.col("node").alias("other"), F.col("n_docs").alias("other_docs"))
+    degree = ends.join(sizes, "other").groupBy("node").agg(F.sum("other_docs").alias("degree"))
+    part = found.ws.table(components(found.ws, found.links), "components")
+    lowest = part.join(found.nodes.select("node", "first"), "node").groupBy("root").agg(F.min("first").alias("component"))
+    of_node = found.nodes.select("node", "n_docs", "first").join(degree, "node", "left").join(part.join(lowest, "root").select("node", "component"), "node", "left")
+    of_node = found.ws.table(of_node.select("node", "n_docs", F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("component", "first").alias("component")), "of_node")
+    return skew_lookup(found.members.drop("n_docs", "first"), of_node, ["node"], "n_docs", found.total)
+
+
 def linked_documents(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, n_similar, component_id``.
 
     ``n_similar`` counts the other documents linked directly, ``component_id``
     is the smallest ``doc_id`` that links reach, the document itself included.
     """
-    found = similar(docs, rule)
-    ends = found.links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(found.links.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    sizes = found.nodes.select(F.col("node").alias("other"), F.col("n_docs").alias("other_docs"))
-    degree = ends.join(sizes, "other").groupBy("node").agg(F.sum("other_docs").alias("degree"))
-    part = found.ws.table(components(found.ws, found.links), "components")
-    lowest = part.join(found.nodes.select("node", "smallest"), "node").groupBy("root").agg(F.min("smallest").alias("component"))
-    of_node = found.nodes.select("node", "n_docs", "smallest", "h1", "h2").join(degree, "node", "left").join(part.join(lowest, "root").select("node", "component"), "node", "left")
-    of_node = found.ws.table(of_node.select("node", "n_docs", F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("component", "smallest").alias("component")), "of_node")
-    linked = skew_lookup(found.members.select("doc_id", "n_shingles", "node"), of_node, ["node"], "n_docs", found.total)
-    return linked.select(
+    return _linked(docs, rule).select(
         "doc_id",
         "n_shingles",
         F.coalesce(F.col("degree") + F.col("n_docs") - 1, F.lit(0)).cast("long").alias("n_similar"),
-        F.coalesce("component", "doc_id").alias("component_id"),
+        F.coalesce("component.id", "doc_id").alias("component_id"),
     )
 
 
 def keep_one(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
-    """``docs`` with one document of each linked group, that of the smallest ``doc_id``; all its columns.
+    """``docs`` with one document of each linked group: that of the smallest ``doc_id``, a null one last, then by text; all its columns.
 
-    Documents without a link, and rows with a null ``doc_id``, stay.
+    Rows are told apart by ``doc_id`` and text, so a further text under a
+    rejected ``doc_id`` stays. Rows that repeat both stay together.
     """
     ws = Workspace(docs.sparkSession, "ngram-keep")
-    gone = ws.table(linked_documents(docs, rule).where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    return without_ids(docs, gone, "doc_id")
+    other = ~(F.col("doc_id").eqNullSafe(F.col("component.id")) & (F.col("text_hash") == F.col("component.hash")))
+    gone = _linked(docs, rule).where(F.col("component").isNotNull() & other).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    return without_rows(docs, ws.table(gone, "gone"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.common import Workspace, small_arrow_batches
-from lexmill.llm.tokens import encoder
+from lexmill.llm.tokens import encoder, gathered
 
 #: Pieces that are packed together; the memory of a packing task is in proportion.
 SHARD = 200_000
@@ -77,9 +77,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
-        for batch in batches:
+        for batch in gathered(batches):
             rows: list[list] = [[] for _ in out.names]
-            for doc_id, ids in zip(batch[0].to_pylist(), encode([x or "" for x in batch[1].to_pylist()]), strict=True):
+            for doc_id, ids in zip(batch[0].to_pylist(), encode(batch[1]), strict=True):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]

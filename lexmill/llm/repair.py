@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.llm.common import Workspace, running_sum, small_arrow_batches
-from lexmill.llm.tokens import encoder
+from lexmill.llm.tokens import encoder, gathered
 
 MAGIC = b"RPTOK1\0\0"
 #: Ids of one file; a task holds one file's ids and pairs at a time.
@@ -208,8 +208,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = 0, ws: Workspace | None
             size, number = 0, number + 1
             return row
 
-        for batch in batches:
-            for key, ids in zip(batch[0].to_pylist(), encode([x or "" for x in batch[1].to_pylist()]), strict=True):
+        for batch in gathered(batches):
+            for key, ids in zip(batch[0].to_pylist(), encode(batch[1]), strict=True):
                 keys.append(key)
                 held.append(ids + end)
                 size += len(ids) + 4

@@ -15,56 +15,69 @@ from pyspark.sql import functions as F
 from lexmill.llm.common import Workspace, running_sum, small_arrow_batches
 from lexmill.llm.tokens import encoder, gathered
 
-MAGIC = b"RPTOK1\0\0"
+MAGIC = b"RPTOK2\0\0"
 #: Ids of one file; a task holds one file's ids and pairs at a time.
 FILE_IDS = 2_000_000
-#: Symbols of a file, ids and nonterminals, fit 16 bits where the vocabulary does.
+#: Symbols up to this many are handled as 16-bit numbers, which is faster; files have as many bits a symbol as they need.
 SYMBOLS_16 = 1 << 16
+SLOTS = 20
+
+
+def _slots(key: np.ndarray, half: int) -> np.ndarray:
+    if half == 16:
+        return (key * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOTS)
+    return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).astype(np.uint32)
 
 
 def _keys(symbols: np.ndarray, barred: int) -> tuple[np.ndarray, np.ndarray]:
-    """A number for each pair of neighbours, and a 20-bit slot of it (0 where ``barred`` is one of them)."""
-    if symbols.dtype == np.uint16:
-        key = symbols[:-1].astype(np.uint32) << np.uint32(16) | symbols[1:]
-        slot = (key * np.uint32(0x9E3779B1)) >> np.uint32(12)
-    else:
-        key = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-        slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.uint32)
+    """A number for each pair of neighbours, and a slot of it (0 where ``barred`` is one of them)."""
+    half = symbols.dtype.itemsize * 8
+    wide = np.uint32 if half == 16 else np.uint64
+    key = symbols[:-1].astype(wide) << wide(half) | symbols[1:]
+    slot = _slots(key, half)
     bar = symbols == barred
     slot[bar[:-1] | bar[1:]] = 0
     return key, slot
 
 
-def compress(ids: np.ndarray, barred: int, rounds: int = 4, per_round: int = 4000, least: int = 24) -> tuple[np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, barred: int, least: int = 4) -> tuple[np.ndarray, np.ndarray]:
     """Symbols and rules of a Re-Pair grammar for ``ids``.
 
     Rule k stands for symbol ``base + k``, where ``base`` is one more than the
     largest id, and has two earlier symbols. Each round replaces the most
-    frequent neighbouring pairs from left to right; ``barred``, which ends
-    documents, never enters a rule, so no rule crosses a document. Pairs are
-    counted by slots first, and only those of the fullest slots by themselves.
+    frequent neighbouring pairs from left to right: those at least a quarter as
+    frequent as the first, until no pair occurs ``least`` times. A rule takes
+    the room of almost three symbols (two, and its length), so from 4 on it pays.
+    ``barred``, which ends documents, never enters a rule, so no rule crosses a
+    document. Pairs are counted by slots first, and only those of the fullest
+    slots by themselves; slot 0 is never counted, which costs a few pairs.
     """
     base = int(ids.max(initial=0)) + 1
-    narrow = base < SYMBOLS_16
-    symbols = ids.astype(np.uint16 if narrow else np.uint32)
-    half = symbols.dtype.type(0).nbytes * 8
-    free = SYMBOLS_16 - base if narrow else 1 << 20
+    symbols = ids.astype(np.uint16 if base < SYMBOLS_16 else np.uint32)
     rules: list[np.ndarray] = []
-    made = 0
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
+    made, limit = 0, None
+    while len(symbols) > 1:
+        half = symbols.dtype.itemsize * 8
         key, slot = _keys(symbols, barred)
-        counts = np.bincount(slot, minlength=1 << 20)
+        counts = np.bincount(slot, minlength=1 << SLOTS)
         counts[0] = 0
-        full = max(least, int(np.partition(counts, -2 * per_round)[-2 * per_round]))
-        found, n = np.unique(key[(counts >= full)[slot]], return_counts=True)
-        found = found[np.lexsort((found, -n))[: min(per_round, free, int((n >= least).sum()))]]
-        if not len(found):
+        most = int(counts.max())
+        if most < least:
             break
+        limit = max(least, min(most, limit or most) // 4)
+        found, n = np.unique(key[(counts >= limit)[slot]], return_counts=True)
+        found = found[n >= limit][np.argsort(-n[n >= limit], kind="stable")]
+        if not len(found):
+            # only slots that several pairs share were as full
+            if limit == least:
+                break
+            continue
+        if half == 16 and base + made + len(found) > SYMBOLS_16:
+            symbols, limit = symbols.astype(np.uint32), 4 * limit
+            continue
         order = np.argsort(found)
         known = found[order]
-        chosen = np.zeros(1 << 20, bool)
+        chosen = np.zeros(1 << SLOTS, bool)
         chosen[_slots(found, half)] = True
         chosen[0] = False
         where = np.flatnonzero(chosen[slot])
@@ -83,20 +96,35 @@ def compress(ids: np.ndarray, barred: int, rounds: int = 4, per_round: int = 400
         mask = (1 << half) - 1
         rules.append(np.stack([found.astype(np.uint64) >> np.uint64(half), found.astype(np.uint64) & np.uint64(mask)], 1).astype(np.uint32))
         made += len(found)
-        free -= len(found)
     return symbols, np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
 
 
-def _slots(key: np.ndarray, half: int) -> np.ndarray:
-    return (key * np.uint32(0x9E3779B1)) >> np.uint32(12) if half == 16 else (key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
+    """``width`` low bits of each value, end to end, as 64-bit words with one more behind."""
+    at = np.arange(len(values), dtype=np.uint64) * np.uint64(width)
+    word, off, v = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63), values.astype(np.uint64)
+    out = np.zeros(len(values) * width // 64 + 2, np.uint64)
+    # bits of different values never meet, so sums are unions
+    np.add.at(out, word, v << off)
+    spill = np.flatnonzero(off > np.uint64(64 - width))
+    np.add.at(out, word[spill] + 1, v[spill] >> (np.uint64(64) - off[spill]))
+    return out
+
+
+def unpack_bits(words: np.ndarray, width: int, start: int, stop: int) -> np.ndarray:
+    """Values ``start`` to ``stop`` of ``pack_bits``."""
+    at = np.arange(start, stop, dtype=np.uint64) * np.uint64(width)
+    word, off = (at >> np.uint64(6)).astype(np.int64), at & np.uint64(63)
+    high = np.where(off > 0, words[word + 1] << (np.uint64(64) - np.maximum(off, np.uint64(1))), np.uint64(0))
+    return ((words[word] >> off | high) & np.uint64((1 << width) - 1)).astype(np.uint32)
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     """Ids that each rule stands for. Rules only use earlier symbols."""
-    length = np.ones(base + len(rules), np.uint32)
-    for k, (a, b) in enumerate(rules.tolist()):
-        length[base + k] = length[a] + length[b]
-    return length[base:]
+    length = [1] * (base + len(rules))
+    for k, (a, b) in enumerate(rules.tolist(), base):
+        length[k] = length[a] + length[b]
+    return np.array(length[base:], np.uint32)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
@@ -114,7 +142,7 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
 
 
 def write_file(doc_ids: list[int | None], ids: list[bytes], end_id: int) -> bytes:
-    """One file: header, documents (id, null mark, first symbol, ids), rules, expansion lengths, symbols."""
+    """One file: header, documents (id, first symbol, ids), rules and symbols in as few bits as their number needs, expansion lengths likewise, null marks."""
     flat = np.frombuffer(b"".join(ids), "<u4")
     counts = np.array([len(x) // 4 for x in ids], np.uint64)
     symbols, rules = compress(flat, end_id)
@@ -124,12 +152,12 @@ def write_file(doc_ids: list[int | None], ids: list[bytes], end_id: int) -> byte
     weight[symbols >= base] = lengths[symbols[symbols >= base] - base]
     reached = np.concatenate([[0], np.cumsum(weight)])
     first = np.searchsorted(reached, np.concatenate([[0], np.cumsum(counts)])).astype("<u8")
-    wide = base + len(rules) > SYMBOLS_16
-    kind = "<u4" if wide else "<u2"
+    width = max(1, (base + len(rules) - 1).bit_length())
     out = io.BytesIO()
     out.write(MAGIC)
-    out.write(np.array([len(doc_ids), base, len(rules), len(symbols), wide], "<u8").tobytes())
-    for part in (np.array([x or 0 for x in doc_ids], "<i8"), np.array([x is None for x in doc_ids], "u1"), first, counts.astype("<u8"), rules.astype(kind), lengths.astype("<u4"), symbols.astype(kind)):
+    long = max(1, int(lengths.max(initial=0)).bit_length())
+    out.write(np.array([len(doc_ids), base, len(rules), len(symbols), width, long], "<u8").tobytes())
+    for part in (np.array([x or 0 for x in doc_ids], "<i8"), first, counts.astype("<u8"), pack_bits(rules.ravel(), width), pack_bits(symbols, width), pack_bits(lengths, long), np.array([x is None for x in doc_ids], "u1")):
         out.write(part.tobytes())
     return out.getvalue()
 
@@ -140,8 +168,8 @@ class TokenFile:
     def __init__(self, data: bytes | memoryview) -> None:
         if bytes(data[:8]) != MAGIC:
             raise ValueError("not a token file")
-        n, self.base, n_rules, n_symbols, wide = (int(x) for x in np.frombuffer(data, "<u8", 5, 8))
-        kind, at = "<u4" if wide else "<u2", 48
+        n, self.base, n_rules, n_symbols, self.width, long = (int(x) for x in np.frombuffer(data, "<u8", 6, 8))
+        at = 56
 
         def take(dtype: str, count: int) -> np.ndarray:
             nonlocal at
@@ -149,14 +177,20 @@ class TokenFile:
             at += part.nbytes
             return part
 
-        ids, null = take("<i8", n), take("u1", n)
-        self.doc_ids = [None if z else int(x) for x, z in zip(ids, null, strict=True)]
+        ids = take("<i8", n)
         self.first, self.n_tokens = take("<u8", n + 1), take("<u8", n)
-        self.rules, self.lengths = take(kind, 2 * n_rules).reshape(-1, 2), take("<u4", n_rules)
-        self.symbols = take(kind, n_symbols)
+        self.rules = unpack_bits(take("<u8", 2 * n_rules * self.width // 64 + 2), self.width, 0, 2 * n_rules).reshape(-1, 2)
+        self.packed = take("<u8", n_symbols * self.width // 64 + 2)
+        self.lengths = unpack_bits(take("<u8", n_rules * long // 64 + 2), long, 0, n_rules)
+        null = take("u1", n)
+        self.doc_ids = [None if z else int(x) for x, z in zip(ids, null, strict=True)]
+
+    def symbols(self, k: int, stop: int) -> np.ndarray:
+        """The symbols of documents ``k`` to ``stop``."""
+        return unpack_bits(self.packed, self.width, int(self.first[k]), int(self.first[stop]))
 
     def ids(self, k: int, start: int = 0, stop: int | None = None) -> np.ndarray:
-        symbols = self.symbols[int(self.first[k]) : int(self.first[k + 1])]
+        symbols = self.symbols(k, k + 1)
         if start == 0 and stop is None:
             return expand(symbols, self.rules, self.base)
         stop = int(self.n_tokens[k]) if stop is None else stop
@@ -238,7 +272,7 @@ def read(files: DataFrame, with_ids: bool = False) -> DataFrame:
                 starts = before + np.concatenate([[0], np.cumsum(file.n_tokens.astype(np.int64))[:-1]])
                 for a in range(0, len(file.doc_ids), 512):
                     b = min(a + 512, len(file.doc_ids))
-                    flat = expand(file.symbols[int(file.first[a]) : int(file.first[b])], file.rules, file.base).astype("<u4", copy=False)
+                    flat = expand(file.symbols(a, b), file.rules, file.base).astype("<u4", copy=False)
                     ids = np.split(flat, np.cumsum(file.n_tokens[a : b - 1].astype(np.int64)))
                     columns = [file.doc_ids[a:b], starts[a:b], file.n_tokens[a:b].astype(np.int64), [zlib.crc32(x.tobytes()) for x in ids]] + [[x.astype("<i4") for x in ids]] * with_ids
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, out.types, strict=True)], schema=out)

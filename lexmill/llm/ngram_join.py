@@ -20,8 +20,10 @@ BEFORE = 4
 BLOCK, SEGMENT = 64, 512
 #: Entries of one frequent gram that meet in one cell.
 CELL = 4096
-#: Bits of a node's packed numbers that count its frequent grams.
-HOT_BITS = 24
+#: Added to the count of rare grams that a pair shares for each frequent gram at which it meets.
+HOT = 1 << 40
+#: Places of nodes in blocks that are broadcast at most: five numbers each, 16 MB.
+PLACES = 250_000
 #: Stands for a null ``doc_id`` where documents are looked up.
 NULL_KEY = -(1 << 63)
 
@@ -150,33 +152,41 @@ def similar(docs: DataFrame, rule: Jaccard = Jaccard()) -> Links:
     nodes = rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(first).alias("first"), F.min("rid").alias("node"), F.count(F.lit(1)).alias("n_docs"))
     nodes = ws.table(nodes, "nodes")
     total = rows.count()
-    candidates = _candidates(ws, rows, nodes, rule)
-    links = ws.table(_overlaps(ws, candidates, docs, nodes, rule), "links")
     index = nodes.select("h1", "h2", "node", "first", "n_docs")
-    members = skew_lookup(rows.select("doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "h1", "h2"), index, ["h1", "h2"], "n_docs", total).drop("h1", "h2")
+    members = skew_lookup(rows.select("doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "h1", "h2", "rid"), index, ["h1", "h2"], "n_docs", total).drop("h1", "h2")
     members = ws.table(members, "members")
+    copies = ws.table(members.where("rid <> node").select("rid"), "copies")
+    candidates = _candidates(ws, rows, copies, rule)
     ws.drop("prefixes")
-    return Links(members, nodes, links, total, ws)
+    repeated = members.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1").limit(1).count() > 0
+    links = ws.table(_overlaps(ws, candidates, docs, nodes, repeated, rule), "links")
+    return Links(members.drop("rid"), nodes, links, total, ws)
 
 
-def _candidates(ws: Workspace, rows: DataFrame, nodes: DataFrame, rule: Jaccard) -> DataFrame:
-    """``a, b, na, nb`` of the pairs of nodes that meet in their prefixes and may be links, as a written table."""
-    copies = rows.where("n > 0").count() - nodes.count()
-    own = rows.where("n > 0")
-    if copies:
-        own = own.join(nodes.select(F.col("node").alias("rid")), "rid", "left_semi")
-    own = own.select(F.col("rid").alias("node"), F.shiftleft(F.col("n").cast("long"), HOT_BITS).bitwiseOR(F.least(F.size("hot"), F.lit((1 << HOT_BITS) - 1))).alias("m"), "rare", "hot")
-    size, hots = lambda c: F.shiftright(c, HOT_BITS), lambda c: F.col(c).bitwiseAND((1 << HOT_BITS) - 1)
+def _candidates(ws: Workspace, rows: DataFrame, copies: DataFrame, rule: Jaccard) -> DataFrame:
+    """``a, b, na, nb`` of the pairs of nodes that meet in their prefixes and may be links, as a written table.
+
+    All grams before the last rare one that a pair shares are known, so its
+    overlap is at most the rare grams shared and what follows in either set.
+    Where frequent grams meet, all rare grams of both sets are in the prefixes;
+    where none does, what follows is also less than the larger set's ``least``.
+    """
+    # one long a row: up to a million of them are broadcast
+    copies = F.broadcast(copies) if copies.count() <= 1_000_000 else copies
+    own = rows.where("n > 0").join(copies, "rid", "left_anti").select(F.col("rid").alias("node"), "n", "rare", "hot")
+    size, place = lambda c: F.shiftright(c, 32), lambda c: F.col(c).bitwiseAND((1 << 32) - 1)
     small, large = F.least(size("ma"), size("mb")), F.greatest(size("ma"), size("mb"))
     near = (F.col("a") < F.col("b")) & (small * rule.den >= large * rule.num)
+    # a set's size, and how many of its grams come up to here
+    packed = lambda at: F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(at.cast("long")).alias("m")
 
     def side(df: DataFrame, name: str, *extra: Column) -> DataFrame:
         return df.select(F.col("node").alias(name), F.col("m").alias(f"m{name}"), "gram", *extra)
 
-    rare = own.select("node", "m", F.explode("rare").alias("gram"))
-    met = side(rare, "a").join(side(rare, "b"), "gram").where(near).select("a", "b", "ma", "mb", F.lit(1).alias("c"))
+    rare = own.select("node", "n", F.posexplode("rare").alias("at", "gram")).select("node", packed(F.col("at") + 1), "gram")
+    met = side(rare, "a").join(side(rare, "b"), "gram").where(near).select("a", "b", "ma", "mb", F.lit(1).cast("long").alias("c"))
 
-    hot = own.where(F.size("hot") > 0).select("node", "m", "hot", F.posexplode("hot").alias("at", "gram"))
+    hot = own.where(F.size("hot") > 0).select("node", packed(F.size("rare")), "hot", F.posexplode("hot").alias("at", "gram"))
     before = F.slice("hot", F.greatest(F.lit(1), F.col("at") + 1 - BEFORE), F.least(F.col("at"), F.lit(BEFORE)))
     hot = hot.select("node", "m", "gram", before.alias("before"))
     big = ws.table(hot.groupBy("gram").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") > CELL).select("gram", F.ceil(F.col("f") / CELL).cast("int").alias("k")), "cells")
@@ -186,12 +196,14 @@ def _candidates(ws: Workspace, rows: DataFrame, nodes: DataFrame, rule: Jaccard)
     cell = (F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     a, b = side(left, "a", *cell, F.col("before").alias("before_a"), F.col("own").alias("own_a")), side(left, "b", *cell, F.col("before").alias("before_b"), F.col("own").alias("own_b"))
     there = (F.least("own_a", "own_b") == F.col("i")) & (F.greatest("own_a", "own_b") == F.col("j"))
-    again = a.join(b, ["gram", "i", "j"]).where(near & there & ~F.arrays_overlap("before_a", "before_b")).select("a", "b", "ma", "mb", F.lit(0).alias("c"))
+    again = a.join(b, ["gram", "i", "j"]).where(near & there & ~F.arrays_overlap("before_a", "before_b")).select("a", "b", "ma", "mb", F.lit(HOT).alias("c"))
 
     need = F.floor(((small + large) * rule.num + (rule.num + rule.den - 1)) / F.lit(rule.num + rule.den))
-    full = F.greatest(hots("ma"), hots("mb")) == (1 << HOT_BITS) - 1
-    summed = met.unionByName(again).groupBy("a", "b", "ma", "mb").agg(F.sum("c").alias("c"))
-    kept = summed.where(full | (F.col("c") + F.least(hots("ma"), hots("mb")) + _least(large, rule) - 1 >= need))
+    summed = met.unionByName(again).groupBy("a", "b").agg(F.max("ma").alias("ma"), F.max("mb").alias("mb"), F.sum("c").alias("c"))
+    behind = F.least(size("ma") - place("ma"), size("mb") - place("mb"))
+    # without a frequent gram in common, the prefixes share the rare grams counted, and no more
+    behind = F.when(F.col("c") >= HOT, behind).otherwise(F.least(behind, _least(large, rule) - 1))
+    kept = summed.where(F.col("c") % HOT + behind >= need)
     return ws.table(kept.select("a", "b", size("ma").alias("na"), size("mb").alias("nb")), "candidates")
 
 
@@ -212,7 +224,7 @@ def _segments(grams: Column, e: Column) -> Column:
     return F.when(e <= 4, few).otherwise(F.transform(F.array(marks), cut)[0])
 
 
-def _overlaps(ws: Workspace, candidates: DataFrame, docs: DataFrame, nodes: DataFrame, rule: Jaccard) -> DataFrame:
+def _overlaps(ws: Workspace, candidates: DataFrame, docs: DataFrame, nodes: DataFrame, repeated: bool, rule: Jaccard) -> DataFrame:
     """``a, b, overlap`` of the candidates that are links, summed from the partial overlaps of the fragments.
 
     Candidates are laid into blocks of about ``BLOCK`` x ``BLOCK`` nodes around
@@ -230,10 +242,15 @@ def _overlaps(ws: Workspace, candidates: DataFrame, docs: DataFrame, nodes: Data
     whose = nodes.select("node", F.coalesce(F.col("first.id").cast("long"), F.lit(NULL_KEY)).alias("key"), F.col("first.hash").alias("text_hash"))
     wanted = ws.table(ends.join(whose, "node"), "wanted")
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)).alias("key"), F.xxhash64("text").alias("text_hash"), "text")
-    # only the texts of candidates are read as sets once more; of repeated rows any one serves
-    near = bit_filter(keyed, wanted, ["key", "text_hash"]).select("key", "text_hash", shingles(F.col("text"), rule.n).alias("grams"))
+    # Only the texts of candidates are read as sets once more; of repeated rows any one serves. A long list meets them by
+    # shuffle, in which a text is smaller than its set.
     one = wanted.groupBy("key", "text_hash").agg(F.collect_set(F.struct("hub", "i", "j", "e", "node")).alias("places"))
-    placed = near.join(one, ["key", "text_hash"]).select("grams", F.explode("places").alias("p")).select("p.*", F.posexplode(_segments(F.col("grams"), F.col("p.e"))).alias("f", "segment"))
+    near = bit_filter(keyed, wanted, ["key", "text_hash"])
+    if repeated:
+        near = near.groupBy("key", "text_hash").agg(F.first("text").alias("text"))
+    near = near.join(F.broadcast(one) if wanted.count() <= PLACES else one, ["key", "text_hash"])
+    cut = lambda grams: F.transform("places", lambda p: F.struct(p.alias("p"), _segments(grams, p["e"]).alias("s")))
+    placed = near.select(F.explode(F.transform(F.array(shingles(F.col("text"), rule.n)), cut)[0]).alias("x")).select("x.p.*", F.posexplode("x.s").alias("f", "segment"))
     blocks = placed.groupBy("hub", "i", "j", "e", "f").agg(F.collect_list(F.struct("node", "segment")).alias("s"))
     blocks = blocks.select("hub", "i", "j", "e", "f", F.col("s.node").alias("nodes"), F.col("s.segment").alias("segments"))
     lists = pairs.groupBy("hub", "i", "j", "e").agg(F.collect_list(F.struct("a", "b", "na", "nb")).alias("pairs"))

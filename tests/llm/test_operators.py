@@ -101,6 +101,40 @@ def test_ngram_join(docs):
     assert kept.columns == docs.columns and kept.where("doc_id = 3").count() == 3
 
 
+@pytest.mark.parametrize("cell", [4096, 3])
+def test_ngram_join_of_frequent_grams_and_long_sets(spark, monkeypatch, cell):
+    """A cluster of near copies, a passage in many texts, long sets in many fragments; small cells, blocks and segments."""
+    for name, value in (("ORDER_SAMPLE", 1), ("CELL", cell), ("BLOCK", 4), ("SEGMENT", 12)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(3000)}"
+    base, passage, long = ([word() for _ in range(k)] for k in (60, 20, 900))
+    texts = []
+    for _ in range(40):
+        copy = list(base)
+        for _ in range(rng.randrange(4)):
+            copy[rng.randrange(60)] = word()
+        texts.append(copy)
+    texts += [[word() for _ in range(30)] + passage + [word() for _ in range(rng.randrange(30))] for _ in range(25)]
+    for _ in range(6):
+        copy = list(long)
+        for _ in range(rng.randrange(70)):
+            copy[rng.randrange(900)] = word()
+        texts.append(copy)
+    rows = [(k, " ".join(t), "s") for k, t in enumerate(texts)]
+    sets = [shingle_set(t) for _, t, _ in rows]
+    want = {a: sum(100 * len(sets[a] & x) >= 70 * len(sets[a] | x) for b, x in enumerate(sets) if b != a) for a in range(len(sets))}
+    got = {r["doc_id"]: r["n_similar"] for r in ngram_join.linked_documents(frame(spark, rows).repartition(3)).collect()}
+    assert got == want and sum(want.values()) > 500
+
+
+def test_empty_tables(spark, docs):
+    none = docs.limit(0)
+    assert ngram_join.linked_documents(none).count() == 0 and ngram_join.keep_one(none).columns == docs.columns
+    assert exact_dedup.dedup(none).count() == 0 and exact_dedup.keep_first(none).count() == 0 and line_quality.judge(none).count() == 0
+    assert lm_scoring.score(none, lm_scoring.train(none, order=3)).count() == 0
+
+
 def test_components_of_a_long_path(spark):
     n = 40
     links = spark.createDataFrame([(k, k + 1) for k in range(n)] + [(100, 101)], "a long, b long")

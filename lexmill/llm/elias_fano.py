@@ -90,6 +90,21 @@ class EliasFano:
             count[open_] = np.bitwise_count(bits[open_])
         return word.astype(np.uint64) * np.uint64(64) + _select_in_word(bits, rank)
 
+    def _run(self, bit: np.ndarray) -> np.ndarray:
+        """How many ones follow from each position on."""
+        out, open_ = np.zeros(len(bit), np.int64), np.arange(len(bit))
+        while len(open_):
+            off = (bit[open_] & 63).astype(np.uint64)
+            rest = ~(self.high[bit[open_] >> 6] >> off)
+            # the lowest zero bit; what was shifted in counts as zeros
+            low = np.bitwise_count((rest & (~rest + U1)) - U1).astype(np.int64)
+            out[open_] += low
+            full = low == 64 - off.astype(np.int64)
+            bit = bit.copy()
+            bit[open_] += low
+            open_ = open_[full]
+        return out
+
     def get(self, i: np.ndarray) -> np.ndarray:
         """Elements at the given places."""
         if not len(i):
@@ -109,9 +124,11 @@ class EliasFano:
         ok = np.flatnonzero(value <= self.get(np.array([self.n - 1]))[0])
         value = value[ok]
         high = (value >> np.uint64(self.width)).astype(np.int64)
-        end = self._select(high, self.zeros, ~np.uint64(0)).astype(np.int64) - high
+        # the ones between two zeros are the elements with the same high bits
         before = np.maximum(high - 1, 0)
-        start = np.where(high > 0, self._select(before, self.zeros, ~np.uint64(0)).astype(np.int64) - before, 0)
+        bit = np.where(high > 0, self._select(before, self.zeros, ~np.uint64(0)).astype(np.int64) + 1, 0)
+        start = bit - high
+        end = start + self._run(bit)
         if first is not None:
             start, end = np.maximum(start, first[ok]), np.minimum(end, last[ok])
         want = value & np.uint64((1 << self.width) - 1)

@@ -174,11 +174,11 @@ def _candidates(ws: Workspace, rows: DataFrame, copies: DataFrame, rule: Jaccard
     # one long a row: up to a million of them are broadcast
     copies = F.broadcast(copies) if copies.count() <= 1_000_000 else copies
     own = rows.where("n > 0").join(copies, "rid", "left_anti").select(F.col("rid").alias("node"), "n", "rare", "hot")
-    size, place = lambda c: F.shiftright(c, 32), lambda c: F.col(c).bitwiseAND((1 << 32) - 1)
+    size, place = lambda c: F.shiftright(c, 16), lambda c: F.col(c).bitwiseAND((1 << 16) - 1)
     small, large = F.least(size("ma"), size("mb")), F.greatest(size("ma"), size("mb"))
     near = (F.col("a") < F.col("b")) & (small * rule.den >= large * rule.num)
-    # a set's size, and how many of its grams come up to here
-    packed = lambda at: F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(at.cast("long")).alias("m")
+    # a set's size, and how many of its grams come up to here; a lower number than the true one is a weaker bound
+    packed = lambda at: F.shiftleft(F.col("n").cast("long"), 16).bitwiseOR(F.least(at, F.lit((1 << 16) - 1)).cast("long")).alias("m")
 
     def side(df: DataFrame, name: str, *extra: Column) -> DataFrame:
         return df.select(F.col("node").alias(name), F.col("m").alias(f"m{name}"), "gram", *extra)

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexmill.llm.common import Workspace, small_arrow_batches, without_ids
+from lexmill.llm.common import Workspace, small_arrow_batches
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, STOP = range(7)
 SEEDS = {
@@ -29,51 +29,84 @@ PRIOR = np.array([1.0, 1.4, 0.4, 0.5, 1.2])
 
 @dataclass(frozen=True)
 class Transducer:
-    """``arcs[state, symbol] = (next state, output)``; a symbol without an arc takes ``OTHER``'s."""
+    """``arcs[state, symbol] = (next state, output, weight)``; a symbol without an arc takes ``OTHER``'s, and ``final[state]`` is put out at a clause's end."""
 
     start: int
-    arcs: dict[tuple[int, int], tuple[int, int]]
+    arcs: dict[tuple[int, int], tuple[int, int, float]]
+    final: dict[int, int] = field(default_factory=dict)
 
-    def step(self, state: int, symbol: int) -> tuple[int, int]:
+    def step(self, state: int, symbol: int) -> tuple[int, int, float]:
         return self.arcs.get((state, symbol)) or self.arcs[state, OTHER]
 
 
+def repeated(symbol: int, weights: tuple[float, ...]) -> Transducer:
+    """Output 1 at each ``symbol``: the k-th of a clause by the k-th weight, further ones by the last."""
+    last = len(weights) - 1
+    arcs = {(k, OTHER): (k, 0, 1.0) for k in range(last + 1)}
+    return Transducer(0, arcs | {(k, symbol): (min(k + 1, last), 1, w) for k, w in enumerate(weights)})
+
+
 def within(opener: int, reach: int) -> Transducer:
     """Output 1 for ``reach`` words after ``opener``, else 0. State k: words left."""
-    arcs = {(k, OTHER): (max(0, k - 1), int(k > 0)) for k in range(reach + 1)}
-    arcs |= {(k, opener): (reach, int(k > 0)) for k in range(reach + 1)}
-    return Transducer(0, arcs)
+    arcs = {(k, OTHER): (max(0, k - 1), int(k > 0), 1.0) for k in range(reach + 1)}
+    return Transducer(0, arcs | {(k, opener): (reach, int(k > 0), 1.0) for k in range(reach + 1)})
+
+
+def since(opener: int) -> Transducer:
+    """Output 1 for all words of the clause after ``opener``."""
+    return Transducer(0, {(0, OTHER): (0, 0, 1.0), (0, opener): (1, 0, 1.0), (1, OTHER): (1, 1, 1.0)})
+
+
+def anywhere(symbol: int) -> Transducer:
+    """Output 1 at the clause's end if ``symbol`` was in it, before or after anything else."""
+    return Transducer(0, {(0, OTHER): (0, 0, 1.0), (0, symbol): (1, 0, 1.0), (1, OTHER): (1, 0, 1.0)}, {1: 1})
 
 
-def compose(parts: tuple[Transducer, ...]) -> dict[tuple[int, int], tuple[int, int]]:
-    """The product: one state for all parts, and their outputs as bits."""
+def compose(parts: tuple[Transducer, ...]) -> tuple[dict[tuple[int, int], tuple[int, int, float]], dict[int, int]]:
+    """The product: one state for all parts, their outputs as bits, their weights multiplied; and the bits at the end of a clause."""
     numbers: dict[tuple[int, ...], int] = {tuple(p.start for p in parts): 0}
-    arcs: dict[tuple[int, int], tuple[int, int]] = {}
+    arcs: dict[tuple[int, int], tuple[int, int, float]] = {}
     todo = list(numbers)
     while todo:
         state = todo.pop()
         for symbol in range(STOP):
             steps = [p.step(s, symbol) for p, s in zip(parts, state, strict=True)]
-            after = tuple(s for s, _ in steps)
+            after = tuple(s for s, _, _ in steps)
             if after not in numbers:
                 numbers[after] = len(numbers)
                 todo.append(after)
-            arcs[numbers[state], symbol] = numbers[after], sum(out << k for k, (_, out) in enumerate(steps))
-    return arcs
+            arcs[numbers[state], symbol] = numbers[after], sum(out << k for k, (_, out, _) in enumerate(steps)), math.prod(w for _, _, w in steps)
+    return arcs, {n: sum(p.final.get(s, 0) << k for k, (p, s) in enumerate(zip(parts, state, strict=True))) for state, n in numbers.items()}
 
 
-#: Negation reaches 3 words, a target 4, reported speech to the end of its clause (24 words at most).
-GRAMMAR = compose((within(NEGATION, 3), within(REPORT, 24), within(TARGET, 4)))
+I_BIT, T_BIT, NEGATED, REPORTED, AIMED = (1 << k for k in range(5))
+#: Insults and threats that go on in a clause count less each; negation reaches 3 words, reported speech to the clause's end, and a target is looked for in the whole clause.
+GRAMMAR, FINAL = compose((repeated(INSULT, (1.0, 0.7, 0.5)), repeated(THREAT, (1.0, 0.7, 0.5)), within(NEGATION, 3), since(REPORT), anywhere(TARGET)))
 
 
 def clause_matches(symbols: list[int], weights: list[float], out: list[float]) -> None:
-    """Add the matched weights of one clause to ``out``, by the kinds of ``MATCHES``."""
-    state, aimed = 0, TARGET in symbols
+    """Add the matched weights of one clause to ``out``, by the kinds of ``MATCHES``.
+
+    The arcs put out insults and threats with what stands before them. The
+    end's output tells whether the clause has a target: with one, an insult is
+    a targeted one; without one, a threat is none, whatever stood before it.
+    """
+    state, insult, threat, others = 0, 0.0, 0.0, [0.0, 0.0, 0.0, 0.0]
     for symbol, weight in zip(symbols, weights, strict=True):
-        state, bits = GRAMMAR[state, symbol]
-        if symbol == INSULT or (symbol == THREAT and aimed):
-            kind = 2 if bits & 1 else 3 if bits & 2 else 4 if symbol == THREAT else 1 if bits & 4 or aimed else 0
-            out[kind] += weight
+        state, bits, factor = GRAMMAR[state, symbol]
+        if bits & (I_BIT | T_BIT):
+            kind = 1 if bits & NEGATED else 2 if bits & REPORTED else 0
+            if kind:
+                others[kind - 1 + (2 if bits & T_BIT else 0)] += weight * factor
+            elif bits & I_BIT:
+                insult += weight * factor
+            else:
+                threat += weight * factor
+    aimed = bool(FINAL[state] & AIMED)
+    out[1 if aimed else 0] += insult
+    out[2] += others[0] + (others[2] if aimed else 0)
+    out[3] += others[1] + (others[3] if aimed else 0)
+    out[4] += threat if aimed else 0
 
 
 @dataclass
@@ -109,7 +142,7 @@ class Model:
             if i <= done:
                 continue
             first = i
-            while first > done + 1 and i - first < 40 and found[first - 1][0] < 10:
+            while first > done + 1 and found[first - 1][0] < 10:
                 first -= 1
             done = i
             while done < len(found) - 1 and found[done][0] < 10:
@@ -156,12 +189,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 40_000, lexicon: int
     lexicon: words and beginnings of words in ``least`` or more toxic documents
     whose odds stand out from the rest, the ``lexicon`` clearest of them. The
     other half gives the weights of the matches, by logistic regression around
-    ``PRIOR``. Without labels of both kinds the prior and an empty lexicon stay.
+    ``PRIOR``. Of rows that repeat a ``doc_id`` the first text counts. Without labels of both kinds the prior and an empty lexicon stay.
     """
     ws = Workspace(docs.sparkSession, "toxicity")
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id")))
     chosen = ws.table(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "toxic", (F.xxhash64("doc_id", F.lit("half")) % 2 == 0).alias("half")), "sample")
-    texts = ws.table(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), "texts")
+    texts = ws.table(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "half").agg(F.min("text").alias("text")), "texts")
     first = texts.where("half")
     n_pos, n_neg = (first.where(f"toxic = {k}").count() for k in (1, 0))
     pos = {r["feature"]: r["n"] for r in _counts(first.where("toxic = 1"), None).where(F.col("n") >= least).orderBy(F.desc("n"), "feature").limit(10 * lexicon).collect()}
@@ -222,22 +255,37 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Repeated rows are scored one by one; other columns are ignored.
     """
     small_arrow_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast((model.lexicon, model.weights, model.bias))
-    local: list[Model] = []
+    scores = _scores(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not local:
-            local.append(Model(*shared.value))
         for b in batches:
-            scores = [local[0].score(t or "") for t in b[2].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b[0], b[1], pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
+            found = scores(b[2])
+            yield pa.RecordBatch.from_arrays([b[0], b[1], pa.array(found, pa.float64()), pa.array([int(s >= 0.5) for s in found], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
+def _scores(spark: SparkSession, model: Model) -> Callable[[pa.Array], list[float]]:
+    shared = spark.sparkContext.broadcast((model.lexicon, model.weights, model.bias))
+    local: list[Model] = []
+
+    def scores(texts: pa.Array) -> list[float]:
+        if not local:
+            local.append(Model(*shared.value))
+        return [local[0].score(t or "") for t in texts.to_pylist()]
+
+    return scores
+
+
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents predicted toxic; all columns. Rows with a null ``doc_id`` stay."""
-    ws = Workspace(docs.sparkSession, "toxicity-keep")
-    gone = ws.table(score(docs, train(docs, labels)).where("predicted = 1").select("doc_id").distinct(), "gone")
-    return without_ids(docs, gone, "doc_id")
+    """``docs`` without the documents predicted toxic; all columns. Each row is judged by its own text, whatever its ``doc_id``."""
+    small_arrow_batches(docs.sparkSession)
+    scores = _scores(docs.sparkSession, train(docs, labels))
+    text = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([s < 0.5 for s in scores(b[text])], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -19,18 +19,26 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+#: Runs of the middle level, and slots of the filter over each.
+RUNS, SLOTS = 16, 1 << 24
+
+
 def dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, digest``.
 
-    The index follows a log-structured merge tree:
-
-    * memtable and flush: each task digests its rows and writes them as one run
-      sorted by digest, with a Parquet bloom filter over it; no text is moved;
-    * compaction: runs are merged by digest into one level that keeps the
-      smallest identifier and the number of rows (combined before the shuffle,
-      so a group of any size costs a row per task);
-    * hits, rows whose digest occurs twice or more, receive byte verification:
-      a bit filter of fixed size passes them in a second scan, and the smallest
+    The index is a log-structured merge tree of three levels:
+
+    * memtables and flush: each task digests its rows and writes them as one
+      run sorted by digest; no text is moved;
+    * first compaction: runs are merged by digest into ``RUNS`` larger ones, an
+      entry with the smallest identifier and the number of rows for each digest
+      (combined before the shuffle, so a group of any size costs a row per
+      task), and each is written sorted with a filter of one bit per slot;
+    * second compaction: the filters are probed against each other. A digest
+      whose slot no other run has set passes as it is; only the rest, copies
+      across runs and a few chance hits, is merged once more;
+    * hits, digests that occur twice or more, receive byte verification: a bit
+      filter of fixed size passes their rows in a second scan, and the smallest
       and largest text of each digest must be the same bytes. A digest that
       fails is split by the texts themselves, so a weak digest costs time but
       never a wrong answer.
@@ -43,13 +51,9 @@ def dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataF
     spark = docs.sparkSession
     ws = Workspace(spark, "exact-dedup")
     rows = docs.select(F.col("doc_id"), normalised(F.col("text")).alias("norm"))
-    runs = ws.table(
-        rows.select("doc_id", digest(F.col("norm")).alias("digest"), F.monotonically_increasing_id().alias("rid")).sortWithinPartitions("digest"),
-        "level0",
-        **{"parquet.bloom.filter.enabled#digest": "true", "parquet.bloom.filter.expected.ndv#digest": "200000"},
-    )
-    first = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("rid"))
-    level = ws.table(runs.groupBy("digest").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n")).select("digest", F.col("first.id").alias("keep_id"), F.col("first.rid").alias("keep_rid"), "n"), "level1")
+    made = rows.select("doc_id", digest(F.col("norm")).alias("digest"), F.monotonically_increasing_id().alias("rid"))
+    runs = ws.table(made.sortWithinPartitions("digest"), "level0")
+    level = _compacted(ws, runs)
     total = runs.count()
     differing = _verify(ws, rows, level.where("n > 1").select("digest"), digest)
     found = skew_lookup(runs, level, ["digest"], "n", total)
@@ -58,6 +62,38 @@ def dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataF
     return _by_text(found, rows, differing, digest)
 
 
+def _merged(entries: DataFrame, keys: list[str]) -> DataFrame:
+    return entries.groupBy(*keys).agg(F.min("first").alias("first"), F.sum("n").alias("n"))
+
+
+def _compacted(ws: Workspace, runs: DataFrame) -> DataFrame:
+    """``digest, keep_id, keep_rid, n`` of all runs."""
+    first = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("rid"))
+    # the task that flushed a row is in the upper bits of its number
+    entries = runs.select(F.pmod(F.shiftright("rid", 33), F.lit(RUNS)).cast("int").alias("run"), "digest", first.alias("first"), F.lit(1).cast("long").alias("n"))
+    middle = ws.table(_merged(entries, ["run", "digest"]).sortWithinPartitions("run", "digest"), "level1")
+    hit, miss = probed(ws, middle)
+    last = ws.table(_merged(hit, ["digest"]).select("digest", "first", "n").unionByName(miss.select("digest", "first", "n")), "level2")
+    return last.select("digest", F.col("first.id").alias("keep_id"), F.col("first.rid").alias("keep_rid"), "n")
+
+
+def probed(ws: Workspace, middle: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Entries whose digest another run's filter may hold, and those that none does.
+
+    A run's filter is written as words of 64 slots. Of all filters, the probe
+    needs just the slots that two runs or more have set: 4 MB at most.
+    """
+    slot = F.pmod(F.xxhash64("digest"), F.lit(SLOTS))
+    word = middle.select("run", slot.alias("s")).groupBy("run", F.shiftright("s", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits"))
+    filters = ws.table(word, "filters")
+    none = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(0).cast("long").alias("twice"))
+    add = lambda acc, w: F.struct(acc["seen"].bitwiseOR(w).alias("seen"), acc["twice"].bitwiseOR(acc["seen"].bitwiseAND(w)).alias("twice"))
+    shared = filters.groupBy("word").agg(F.collect_list("bits").alias("w")).select("word", F.aggregate("w", none, add)["twice"].alias("twice")).where("twice <> 0")
+    marked = middle.withColumn("s", slot).withColumn("word", F.shiftright("s", 6)).join(F.broadcast(shared), "word", "left")
+    hit = F.coalesce(F.expr("(shiftright(twice, cast(s & 63 as int)) & 1) = 1"), F.lit(False))
+    return marked.where(hit).select(*middle.columns), marked.where(~hit).select(*middle.columns)
+
+
 def _verify(ws: Workspace, rows: DataFrame, hits: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
     """Digests of ``hits`` under which there is more than one text, as a written table."""
     passed = bit_filter(rows.select(digest(F.col("norm")).alias("digest"), "norm"), hits, ["digest"])

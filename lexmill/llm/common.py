@@ -13,6 +13,8 @@ from pyspark.sql.window import Window
 
 #: Java and RE2 form of one run of ASCII white space.
 WS = r"[\x20\x09-\x0D]+"
+#: Bytes of a table that is broadcast at most.
+BROADCAST_BYTES = 16_000_000
 WS_CHARS = " \t\n\x0b\x0c\r"
 
 _own: dict[str, str] = {}
@@ -37,11 +39,6 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own[app]
 
 
-def local_path(url: str) -> str:
-    """A mounted path for a ``file:`` URL; other schemes are returned unchanged."""
-    return url.split(":", 1)[1].replace("///", "/", 1) if url.startswith("file:") else url
-
-
 class Workspace:
     """Tables and files of one operator call, written under the shared folder.
 
@@ -148,7 +145,19 @@ def bit_filter(rows: DataFrame, wanted: DataFrame, keys: list[str], bits: int =
     bits: 16 bytes a word, 4 MB at most, whatever the number of keys. It keeps
     rows that cannot match out of a shuffle.
     """
+    marked, hit = _marked(rows, wanted, keys, bits, "inner")
+    return marked.where(hit).select(*rows.columns)
+
+
+def bit_split(rows: DataFrame, wanted: DataFrame, keys: list[str], bits: int = 1 << 24) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that ``bit_filter`` passes, and the others."""
+    marked, hit = _marked(rows, wanted, keys, bits, "left")
+    hit = F.coalesce(hit, F.lit(False))
+    return marked.where(hit).select(*rows.columns), marked.where(~hit).select(*rows.columns)
+
+
+def _marked(rows: DataFrame, wanted: DataFrame, keys: list[str], bits: int, how: str) -> tuple[DataFrame, Column]:
     slot = F.pmod(F.xxhash64(*keys), F.lit(bits))
     words_ = wanted.select(slot.alias("__slot")).groupBy(F.shiftright("__slot", 6).alias("__word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(__slot & 63 as int))")).alias("__bits"))
     marked = rows.withColumn("__slot", slot).withColumn("__word", F.shiftright("__slot", 6))
-    return marked.join(F.broadcast(words_), "__word").where("(shiftright(__bits, cast(__slot & 63 as int)) & 1) = 1").select(*rows.columns)
+    return marked.join(F.broadcast(words_), "__word", how), F.expr("(shiftright(__bits, cast(__slot & 63 as int)) & 1) = 1")

@@ -69,6 +69,19 @@ def test_exact_dedup(docs, weak):
     assert sum(r["kept"] for r in got) == len(groups) and all(r["doc_id"] == r["keep_id"] for r in got if r["kept"])
 
 
+def test_exact_dedup_filters_skip_what_one_run_holds(spark):
+    """Digests of one run alone pass the second compaction by; those of two runs never do."""
+    rows = [(k % 4, f"{k if k % 10 else 0:08x}".encode() * 4) for k in range(4000)]
+    middle = spark.createDataFrame([(r, d, 1) for r, d in sorted(set(rows))], "run int, digest binary, n long")
+    hit, miss = exact_dedup.probed(Workspace(spark, "probe"), middle)
+    hits, misses = ([(r["run"], bytes(r["digest"])) for r in x.collect()] for x in (hit, miss))
+    runs = defaultdict(set)
+    for r, d in rows:
+        runs[d].add(r)
+    assert sorted(hits + misses) == sorted(set(rows)) and len(hits) < 20
+    assert {d for _, d in hits} >= {d for d, r in runs.items() if len(r) > 1}
+
+
 def test_keep_first(docs):
     kept = exact_dedup.keep_first(docs)
     assert kept.columns == docs.columns
@@ -343,6 +356,69 @@ def test_sanitise(spark, docs):
     assert pii.sanitise(docs, with_text=False).count() == len(corpus()) and pii.sanitise(docs.limit(0)).count() == 0
 
 
+def brute_terms(texts, rule):
+    """For each text, the spans of terms that give one of its entities away, by plain counts over lines and texts."""
+    z, least = rule.deviations, rule.generalise
+    best = {}
+    for units in ([line for t in texts for line in t.split("\n")], texts):
+        told = [({pii.entity(u, s) for s in pii.base_spans(u)}, {t for _, _, t in pii.outside(u, pii.base_spans(u))}, u) for u in units]
+        n_e, n_t, n_te, different = Counter(), Counter(), Counter(), defaultdict(set)
+        for es, ts, u in told:
+            n_e.update(es)
+            n_t.update(ts)
+            for e in es:
+                for t in ts:
+                    n_te[e, t] += 1
+                    different[e, t].add(u)
+        for (e, t), n in n_te.items():
+            p = n / n_t[t]
+            m = len(different[e, t]) / p
+            low = (p + z * z / (2 * m) - z * np.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
+            share = 1 + np.log(max(low, 1e-300)) / np.log(max(2.0, len(units) / n_e[e]))
+            if share >= least:
+                best[e, t] = max(share, best.get((e, t), 0))
+    out = []
+    for text in texts:
+        spans = pii.base_spans(text)
+        es = {pii.entity(text, s) for s in spans}
+        out.append([(a, b) for a, b, t in pii.outside(text, spans) if any((e, t) in best for e in es)])
+    return out
+
+
+def test_sanitise_by_brute_force(spark):
+    rng = random.Random(12)
+    words = [f"v{k}" for k in range(120)] + ["Zoë's", "ÉTÉ", "x-1"]
+    mails = [f"p{k}@corp.org" for k in range(8)] + ["10.0.0.7", "+1 (736) 555-2678"]
+    texts = []
+    for _ in range(250):
+        lines = []
+        for _ in range(rng.randrange(1, 5)):
+            line = [rng.choice(words) for _ in range(rng.randrange(1, 9))]
+            for _ in range(rng.randrange(3) if rng.random() < 0.3 else 0):
+                k = min(rng.randrange(10), rng.randrange(10))
+                line += [mails[k], f"near{k}"]
+            lines.append(" ".join(line))
+        texts.append("\n".join(lines))
+    texts += texts[:20]
+    want = brute_terms(texts, pii.Disclosure())
+    got = {r["doc_id"]: r["spans"] for r in pii.sanitise(frame(spark, [(k, t, "s") for k, t in enumerate(texts)]).repartition(3), with_text=False).collect()}
+    found = [[tuple(map(int, x.split(":")[1:])) for x in got[k].split(",") if x.startswith("term:")] for k in range(len(texts))]
+    assert found == want and 50 < sum(map(len, want)) < 3000
+
+
+def test_sanitise_a_long_line_of_addresses(spark):
+    line = " ".join(f"user{k}@host{k % 50}.org word{k}" for k in range(20_000))
+    rows = [(1, line, "s"), (2, "plain", "s"), (3, "user5@host5.org word5 here", "s")]
+    got = {r["doc_id"]: r for r in pii.sanitise(frame(spark, rows), with_text=False).collect()}
+    assert got[1]["n_email"] == 20_000 and got[2]["n_term"] == 0 and got[1]["spans"].count("email:") == 20_000
+
+
+def test_term_keys_are_those_of_spark(spark):
+    odd = ["", "a", "straße", "ΑΣ", "日本語" * 20, "x" * 1000]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string").select("t", F.xxhash64("t").alias("h"), F.lower("t").alias("low")).collect()
+    assert [(pii.term_key(r["t"]), r["t"].lower()) for r in rows] == [(r["h"], r["low"]) for r in rows]
+
+
 def test_rare_terms_give_an_entity_away(spark):
     """Two texts, another line, a term with a digit and hyphen, and one of two letters; ids that are null."""
     rows = [(1, "write to anna@x.org now\n\nsite K-9, by ox plain", "s"), (None, "anna@x.org wrote\nof ox and k-9 plain", "s")]
@@ -416,6 +492,33 @@ def test_lm_scores_of_longer_contexts(spark, order):
         assert abs(got[i]["score"] - want) < 2e-4 * len(ws), (i, got[i]["score"], want)
 
 
+def test_clauses_by_brute_force():
+    """The composed machine against the rules read straight from the words of a clause."""
+    rng = random.Random(8)
+    symbols = [toxicity.OTHER, toxicity.INSULT, toxicity.THREAT, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT]
+    for _ in range(3000):
+        clause = [rng.choice(symbols) if rng.random() < 0.5 else toxicity.OTHER for _ in range(rng.randrange(1, 60))]
+        weights = [rng.choice([1.0, 2.5]) for _ in clause]
+        want = [0.0] * 5
+        aimed = toxicity.TARGET in clause
+        for k, (s, w) in enumerate(zip(clause, weights, strict=True)):
+            if s not in (toxicity.INSULT, toxicity.THREAT) or (s == toxicity.THREAT and not aimed):
+                continue
+            w *= (1.0, 0.7, 0.5)[min(2, clause[:k].count(s))]
+            negated, reported = toxicity.NEGATION in clause[max(0, k - 3) : k], toxicity.REPORT in clause[:k]
+            want[2 if negated else 3 if reported else 4 if s == toxicity.THREAT else 1 if aimed else 0] += w
+        got = [0.0] * 5
+        toxicity.clause_matches(clause, weights, got)
+        assert np.allclose(got, want), clause
+
+
+def test_long_clauses_are_read_whole():
+    model = toxicity.Model({"idiot$": 5.0}, toxicity.PRIOR.copy(), -2.0)
+    match = lambda t: dict(zip(toxicity.MATCHES, model.features(t), strict=True))
+    assert match("you " + "word " * 500 + "idiot")["targeted"] == 5 and match("idiot " + "word " * 500 + "you")["targeted"] == 5
+    assert match("they said that " + "word " * 500 + "idiot")["reported"] == 5 and match("kill " + "word " * 99 + "you.")["threat"] == 1
+
+
 def test_toxicity_grammar_and_learning(spark):
     model = toxicity.Model({"idiot$": 5.0}, toxicity.PRIOR.copy(), -2.0)
     match = lambda t: dict(zip(toxicity.MATCHES, model.features(t), strict=True))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import io
 import zlib
 from collections.abc import Iterator
@@ -46,8 +47,9 @@ def compress(ids: np.ndarray, barred: int, least: int = 4) -> tuple[np.ndarray,
     Rule k stands for symbol ``base + k``, where ``base`` is one more than the
     largest id, and has two earlier symbols. Each round replaces the most
     frequent neighbouring pairs from left to right: those at least a quarter as
-    frequent as the first, until no pair occurs ``least`` times. A rule takes
-    the room of almost three symbols (two, and its length), so from 4 on it pays.
+    frequent as the first, until no pair occurs ``least`` times or a round saves
+    less than a thousandth of the symbols. A rule takes the room of almost three
+    symbols (two, and its length), so from 4 on it pays.
     ``barred``, which ends documents, never enters a rule, so no rule crosses a
     document. Pairs are counted by slots first, and only those of the fullest
     slots by themselves; slot 0 is never counted, which costs a few pairs.
@@ -92,10 +94,12 @@ def compress(ids: np.ndarray, barred: int, least: int = 4) -> tuple[np.ndarray,
         symbols[where] = (base + made + order[at]).astype(symbols.dtype)
         keep = np.ones(len(symbols), bool)
         keep[where + 1] = False
-        symbols = symbols[keep]
+        before, symbols = len(symbols), symbols[keep]
         mask = (1 << half) - 1
         rules.append(np.stack([found.astype(np.uint64) >> np.uint64(half), found.astype(np.uint64) & np.uint64(mask)], 1).astype(np.uint32))
         made += len(found)
+        if limit == least and before - len(symbols) < before / 1000:
+            break
     return symbols, np.concatenate(rules) if rules else np.empty((0, 2), np.uint32)
 
 
@@ -127,18 +131,40 @@ def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
     return np.array(length[base:], np.uint32)
 
 
+class Expansions:
+    """The ids behind every rule, end to end: ``flat[start[k] : start[k] + length[k]]`` for rule k."""
+
+    def __init__(self, rules: np.ndarray, base: int, lengths: np.ndarray) -> None:
+        self.base, self.length = base, lengths.astype(np.int64)
+        self.start = np.concatenate([[0], np.cumsum(self.length)[:-1]]) if len(rules) else np.empty(0, np.int64)
+        self.flat = np.empty(int(self.length.sum()), np.uint32)
+        depth = np.zeros(len(rules), np.int64)
+        below = [0] * base
+        for a, b in rules.tolist():
+            below.append(1 + max(below[a], below[b]))
+        depth[:] = below[base:]
+        order = np.argsort(depth, kind="stable")
+        # rules of one depth use rules of lesser depths, which are there already
+        for own in np.split(order, np.flatnonzero(np.diff(depth[order])) + 1):
+            if len(own):
+                ids, sizes = self.of(rules[own].ravel())
+                self.flat[np.repeat(self.start[own] - np.cumsum(self.length[own]) + self.length[own], self.length[own]) + np.arange(len(ids))] = ids
+
+    def of(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids behind ``symbols``, and how many each has."""
+        deep = symbols >= self.base
+        if not deep.any():
+            return symbols.astype(np.uint32), np.ones(len(symbols), np.int64)
+        rule = symbols[deep].astype(np.int64) - self.base
+        size, start = np.ones(len(symbols), np.int64), np.arange(len(symbols))
+        size[deep], start[deep] = self.length[rule], len(symbols) + self.start[rule]
+        both = np.concatenate([symbols.astype(np.uint32), self.flat])
+        return both[np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))], size
+
+
 def expand(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     """The ids behind ``symbols``."""
-    out = symbols.astype(np.uint32)
-    while len(out) and (deep := out >= base).any():
-        at = np.cumsum(1 + deep) - 1 - deep
-        wide = np.empty(len(out) + int(deep.sum()), np.uint32)
-        pair = rules[out[deep] - base]
-        wide[at[~deep]] = out[~deep]
-        wide[at[deep]] = pair[:, 0]
-        wide[at[deep] + 1] = pair[:, 1]
-        out = wide
-    return out
+    return Expansions(rules, base, expansion_lengths(rules, base)).of(symbols)[0]
 
 
 def write_file(doc_ids: list[int | None], ids: list[bytes], end_id: int) -> bytes:
@@ -185,6 +211,10 @@ class TokenFile:
         null = take("u1", n)
         self.doc_ids = [None if z else int(x) for x, z in zip(ids, null, strict=True)]
 
+    @functools.cached_property
+    def expansions(self) -> Expansions:
+        return Expansions(self.rules, self.base, self.lengths)
+
     def symbols(self, k: int, stop: int) -> np.ndarray:
         """The symbols of documents ``k`` to ``stop``."""
         return unpack_bits(self.packed, self.width, int(self.first[k]), int(self.first[stop]))
@@ -192,7 +222,7 @@ class TokenFile:
     def ids(self, k: int, start: int = 0, stop: int | None = None) -> np.ndarray:
         symbols = self.symbols(k, k + 1)
         if start == 0 and stop is None:
-            return expand(symbols, self.rules, self.base)
+            return self.expansions.of(symbols)[0]
         stop = int(self.n_tokens[k]) if stop is None else stop
         weight = np.ones(len(symbols), np.int64)
         deep = symbols >= self.base
@@ -200,7 +230,7 @@ class TokenFile:
         reached = np.concatenate([[0], np.cumsum(weight)])
         a = max(0, int(np.searchsorted(reached, start, "right")) - 1)
         b = int(np.searchsorted(reached, stop))
-        return expand(symbols[a:b], self.rules, self.base)[start - int(reached[a]) : stop - int(reached[a])]
+        return self.expansions.of(symbols[a:b])[0][start - int(reached[a]) : stop - int(reached[a])]
 
 
 def write(docs: DataFrame, tokenizer: str, end_id: int = 0, ws: Workspace | None = None) -> DataFrame:
@@ -272,7 +302,7 @@ def read(files: DataFrame, with_ids: bool = False) -> DataFrame:
                 starts = before + np.concatenate([[0], np.cumsum(file.n_tokens.astype(np.int64))[:-1]])
                 for a in range(0, len(file.doc_ids), 512):
                     b = min(a + 512, len(file.doc_ids))
-                    flat = expand(file.symbols(a, b), file.rules, file.base).astype("<u4", copy=False)
+                    flat = file.expansions.of(file.symbols(a, b))[0].astype("<u4", copy=False)
                     ids = np.split(flat, np.cumsum(file.n_tokens[a : b - 1].astype(np.int64)))
                     columns = [file.doc_ids[a:b], starts[a:b], file.n_tokens[a:b].astype(np.int64), [zlib.crc32(x.tobytes()) for x in ids]] + [[x.astype("<i4") for x in ids]] * with_ids
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, out.types, strict=True)], schema=out)

@@ -43,6 +43,20 @@ def cleanse(span: Column, lower: bool = True) -> Column:
     return F.trim(F.regexp_replace(text, SPACES, " "))
 
 
+def cleansed_tokens(text: Column) -> Column:
+    """Each white-space token of a text, cleansed as by ``cleanse``, in order; a token of marks alone gives an empty string.
+
+    The text is cleansed as a whole. Line feeds part its tokens meanwhile, so
+    that a token with marks inside stays one term of several words.
+    """
+    bare = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    parted = F.regexp_replace(F.regexp_replace(bare, r"[\x20\x09-\x0D]+", "\n"), "-[RL].B-", " ")
+    parted = F.translate(F.lower(parted), string.punctuation, " " * len(string.punctuation))
+    # the trim of ``cleanse`` takes spaces alone, and its collapse makes spaces of all white space
+    parted = F.regexp_replace(F.regexp_replace(parted, r"(?U)[^\S\n]+", " "), " ?\n ?", "\n")
+    return F.when(F.length(bare) > 0, F.split(F.trim(parted), "\n", -1)).otherwise(F.array().cast("array<string>"))
+
+
 def drop_invalid(text: Column) -> Column:
     """Characters outside the basic plane, surrogates and most controls become spaces."""
     return F.regexp_replace(text, INVALID, " ")

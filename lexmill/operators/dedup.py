@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import hashes
@@ -110,11 +110,20 @@ def text_profile(items: DataFrame, key: str = "stream_id", text: str = "clean_vi
     Counts are divided by a quantum of a hundredth of the largest (at least 2);
     only counts above the quantum enter, most frequent first, ties by word.
     Texts without words have no signature; where no count passes, the
-    signature is that of nothing and marked as degenerate.
+    signature is that of nothing and marked as degenerate. Each row is a text of
+    its own, also where a key repeats.
     """
-    word = F.explode(F.split(T.cleanse(F.col(text)), " "))
-    counts = items.select(key, word.alias("word")).where(F.length("word") >= 2).groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.groupBy(key).agg(F.max("n").alias("most"), F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("order"), "word"))).alias("words"))
+    found = F.array_sort(F.filter(F.split(T.cleanse(F.col(text)), " "), lambda w: F.length(w) >= 2))
+
+    def counted(s: Column) -> Column:
+        # runs of equal words in the sorted array: all inside one row, nothing is shuffled
+        at = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, F.greatest(i - 1, F.lit(0)))))
+        runs = lambda at: F.transform(at, lambda i, k: F.struct((i - F.coalesce(F.get(at, k + 1), F.size(s))).alias("order"), F.get(s, i).alias("word")))
+        return F.when(F.size(s) > 0, F.array_sort(F.transform(F.array(at), runs)[0]))
+
+    # arrays are bound by transforms, so that each is computed once
+    words = items.select(key, F.explode(F.transform(F.array(found), counted)).alias("words")).where(F.col("words").isNotNull())
+    top = words.withColumn("most", -F.get("words", F.lit(0))["order"])
     quant = F.when(F.col("most") <= 1, F.lit(1)).otherwise(F.greatest(F.lit(2), F.round(F.col("most") * 0.01))).cast("long")
     kept = F.filter("words", lambda w: -w["order"] > F.col("quant"))
     parts = F.transform("kept", lambda w: F.concat_ws(" ", w["word"], F.floor(-w["order"] / F.col("quant")).cast("string")))

@@ -11,36 +11,41 @@ from lexmill.functions import text as T
 
 #: Longest list that becomes a literal of the predicate.
 LITERALS = 1000
-#: Longest list that is broadcast; a longer one is joined by shuffle.
-BROADCAST = 1_000_000
+#: Bytes of a list that is broadcast; a larger one is joined by shuffle.
+BROADCAST_BYTES = 16_000_000
 
 
-def _among(items: DataFrame, column: str, values: list[str], keep: bool) -> DataFrame:
+def listed(items: DataFrame, column: str, values: list[str]) -> DataFrame:
+    """The values as a table of one column, to be broadcast if its strings are known to be few bytes."""
+    table = items.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(values)], f"`{column}` string")
+    return F.broadcast(table) if sum(len(v.encode()) + 32 for v in values if v is not None) <= BROADCAST_BYTES else table
+
+
+def among(items: DataFrame, column: str, values: list[str], keep: bool) -> DataFrame:
+    """Rows whose ``column`` is one of the values, or is none of them; a null is none."""
     if len(values) <= LITERALS:
         test = F.col(column).isin(values)
         return items.where(test if keep else ~F.coalesce(test, F.lit(False)))
-    listed = items.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(values)], f"`{column}` string")
-    listed = F.broadcast(listed) if len(values) <= BROADCAST else listed
-    return items.join(listed, column, "left_semi" if keep else "left_anti")
+    return items.join(listed(items, column, values), column, "left_semi" if keep else "left_anti")
 
 
 def accept_ids(items: DataFrame, accept: Iterable[str] = ()) -> DataFrame:
     """Items with one of the stream ids; without ids, none."""
-    return _among(items, "stream_id", list(accept), True)
+    return among(items, "stream_id", list(accept), True)
 
 
 def filter_ids(items: DataFrame, excluded: Iterable[str] = (), included: Iterable[str] = (), excluded_docs: Iterable[str] = (), included_docs: Iterable[str] = ()) -> DataFrame:
     """Drop excluded stream and document ids; then, if any inclusion list has ids, keep those alone."""
     for column, values in (("stream_id", list(excluded)), ("doc_id", list(excluded_docs))):
         if values:
-            items = _among(items, column, values, False)
+            items = among(items, column, values, False)
     streams, docs = list(included), list(included_docs)
     if not streams and not docs:
         return items
     if len(streams) + len(docs) <= LITERALS:
         return items.where(F.col("stream_id").isin(streams) | F.col("doc_id").isin(docs))
-    by_stream = _among(items, "stream_id", streams, True)
-    return by_stream.unionByName(_among(_among(items, "stream_id", streams, False), "doc_id", docs, True))
+    by_stream = among(items, "stream_id", streams, True)
+    return by_stream.unionByName(among(among(items, "stream_id", streams, False), "doc_id", docs, True))
 
 
 def filter_languages(items: DataFrame, codes: Iterable[str], allow_null: bool = False) -> DataFrame:
@@ -60,8 +65,7 @@ def filter_domains(items: DataFrame, domains: Iterable[str]) -> DataFrame:
         hit = lambda c: F.coalesce(F.arrays_overlap(T.left_cuts(T.host(F.col(c))), listed), F.lit(False))
         return items.where(hit("abs_url") | hit("schost"))
     found = items.select("*", F.array_union(T.left_cuts(T.host(F.coalesce("abs_url", F.lit("")))), T.left_cuts(T.host(F.coalesce("schost", F.lit(""))))).alias("__cuts"))
-    table = items.sparkSession.createDataFrame([(n,) for n in dict.fromkeys(names)], "__domain string")
-    hits = found.select("stream_id", F.explode("__cuts").alias("__domain")).join(F.broadcast(table) if len(names) <= BROADCAST else table, "__domain", "left_semi").select("stream_id").distinct()
+    hits = found.select("stream_id", F.explode("__cuts").alias("__domain")).join(listed(items, "__domain", names), "__domain", "left_semi").select("stream_id").distinct()
     return items.join(hits, "stream_id", "left_semi")
 
 
@@ -88,12 +92,12 @@ def find_ids(items: DataFrame, doc_ids: Iterable[str], camouflage: float = 0.0,
     Chance comes from a hash of the stream id, so reruns agree.
     """
     wanted = list(doc_ids)
-    hits = _among(items, "doc_id", wanted, True)
+    hits = among(items, "doc_id", wanted, True)
     if camouflage <= 0:
         return hits
     inputs = hits.select("i_str").distinct()
     chance = F.pmod(F.xxhash64(F.lit(seed), "stream_id"), F.lit(1_000_000)) < int(camouflage * 1_000_000)
-    return hits.unionByName(_among(items, "doc_id", wanted, False).where(chance).join(inputs, "i_str", "left_semi"))
+    return hits.unionByName(among(items, "doc_id", wanted, False).where(chance).join(inputs, "i_str", "left_semi"))
 
 
 def keep_annotated(items: DataFrame, ratings: DataFrame) -> tuple[DataFrame, DataFrame]:

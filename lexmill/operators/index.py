@@ -10,60 +10,102 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
 from lexmill.functions.hashes import term_hash_udf
+from lexmill.operators.filters import LITERALS, among
 
 STOP_WORDS = tuple("a an and are as at be but by for from has have he her his i in is it its not of on or she that the their they this to was we were will with you".split())
 
 
-def terms(tokens: DataFrame, token: str = "token", key: str = "stream_id", size_limit: int = 128, stop_words: Iterable[str] = (), drop_empty: bool = False) -> DataFrame:
-    """``key, term, tf``: cleansed tokens counted per document; long terms and stop words are left out.
-
-    The list of stop words is part of the predicate; a long one is an anti-join.
-    """
-    rows = tokens.select(key, T.cleanse(F.col(token)).alias("term")).where(F.octet_length("term") <= size_limit)
+def _wanted_terms(rows: DataFrame, size_limit: int, stop_words: Iterable[str], drop_empty: bool) -> DataFrame:
+    """The rows whose ``term`` is no longer than ``size_limit`` bytes and no stop word; a long list of those is an anti-join."""
+    rows = rows.where(F.octet_length("term") <= size_limit)
     listed = list(stop_words)
     if drop_empty:
         rows = rows.where("term <> ''")
-    if len(listed) <= 1000:
-        rows = rows.where(~F.col("term").isin(listed)) if listed else rows
-    else:
-        table = tokens.sparkSession.createDataFrame([(w,) for w in listed], "term string")
-        rows = rows.join(F.broadcast(table) if len(listed) <= 1_000_000 else table, "term", "left_anti")
-    return rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return among(rows, "term", listed, False) if listed else rows
+
+
+def terms(tokens: DataFrame, token: str = "token", key: str = "stream_id", size_limit: int = 128, stop_words: Iterable[str] = (), drop_empty: bool = False) -> DataFrame:
+    """``key, term, tf``: cleansed tokens counted per document; long terms and stop words are left out."""
+    rows = tokens.select(key, T.cleanse(F.col(token)).alias("term"))
+    return _wanted_terms(rows, size_limit, stop_words, drop_empty).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def text_terms(items: DataFrame, text: str = "clean_visible", key: str = "stream_id", size_limit: int = 128, stop_words: Iterable[str] = (), drop_empty: bool = False, total: str | None = None) -> DataFrame:
+    """As ``terms`` over the white-space tokens of a text column, which is cleansed as a whole.
+
+    With ``total``, each document with a token has one more row of that term:
+    its frequency counts the documents in the same pass.
+    """
+    found = T.cleansed_tokens(F.col(text))
+    if total is not None:
+        found = F.transform(F.array(found), lambda t: F.when(F.size(t) > 0, F.array_append(t, F.lit(total))).otherwise(t))[0]
+    rows = items.select(key, F.explode(found).alias("term"))
+    return _wanted_terms(rows, size_limit, stop_words, drop_empty).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 @dataclass(frozen=True)
 class KeywordIndex:
-    """``postings`` (hash, key, tf), ``frequencies`` (hash, n; hash 0 counts documents), ``dictionary`` (hash, term, n)."""
+    """``postings`` (hash, key, tf), ``frequencies`` (hash, n; hash 0 counts documents), ``dictionary`` (hash, term, n); ``counted`` (key, term, tf) while it is not written."""
 
     postings: DataFrame
     frequencies: DataFrame
     dictionary: DataFrame
+    counted: DataFrame | None = None
 
 
 def build(counted: DataFrame, key: str = "stream_id") -> KeywordIndex:
     """The index of counted terms. Hashes are made once per distinct term; terms of equal hash are added up."""
     distinct = counted.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     dictionary = distinct.select(term_hash_udf("term").alias("hash"), "term", "n")
-    hashed = counted.withColumn("hash", term_hash_udf("term"))
-    postings = hashed.groupBy("hash", key).agg(F.sum("tf").alias("tf"))
+    postings = _hashed(counted, dictionary, key)
     total = counted.select(key).distinct().agg(F.lit(0).alias("hash"), F.count(F.lit(1)).alias("n"))
     frequencies = postings.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).unionByName(total)
-    return KeywordIndex(postings, frequencies, dictionary)
+    return KeywordIndex(postings, frequencies, dictionary, counted)
+
+
+def _hashed(counted: DataFrame, dictionary: DataFrame, key: str) -> DataFrame:
+    return counted.join(dictionary.select("term", "hash"), "term").groupBy("hash", key).agg(F.sum("tf").alias("tf"))
+
+
+def _postings(index: KeywordIndex, hashes: Iterable[int], key: str) -> DataFrame:
+    """The postings of the hashes, 0 aside.
+
+    A written index is filtered by its sort column. Before that, the hashes are
+    first resolved to their terms, a few for each, and the terms are sought.
+    """
+    asked = [h for h in hashes if h]
+    if index.counted is None:
+        return index.postings.where(F.col("hash").isin(asked))
+    found = index.dictionary.where(F.col("hash").isin(asked)).select("term", "hash")
+    few = found.limit(LITERALS + 1).collect()
+    if len(few) > LITERALS:
+        return _hashed(index.counted, found, key)
+    named = index.counted.where(F.col("term").isin([r["term"] for r in few]))
+    hash_ = F.lit(None).cast("int")
+    for r in few:
+        hash_ = F.when(F.col("term") == r["term"], r["hash"]).otherwise(hash_)
+    return named.groupBy(hash_.alias("hash"), key).agg(F.sum("tf").alias("tf"))
 
 
 def lookup(index: KeywordIndex, hashes: Iterable[int], key: str = "stream_id") -> DataFrame:
-    """Documents with any of the terms; hash 0 finds none. A filter on a written index prunes its files."""
-    return index.postings.where(F.col("hash").isin([h for h in hashes if h])).select(key).distinct()
+    """Documents with any of the terms; hash 0 finds none."""
+    return _postings(index, hashes, key).select(key).distinct()
 
 
 def lookup_tf(index: KeywordIndex, h: int, key: str = "stream_id") -> DataFrame:
-    return index.postings.where((F.col("hash") == h) & (F.col("hash") != 0)).select(key, "tf")
+    return _postings(index, [h], key).select(key, "tf")
 
 
-def document_frequencies(index: KeywordIndex, hashes: Iterable[int]) -> DataFrame:
+def document_frequencies(index: KeywordIndex, hashes: Iterable[int], key: str = "stream_id") -> DataFrame:
     """``hash, n`` for every hash asked for; 0 where it is missing."""
-    asked = index.frequencies.sparkSession.createDataFrame([(h,) for h in hashes], "hash int")
-    return asked.join(index.frequencies.where(F.col("hash").isin(list(hashes))), "hash", "left").select("hash", F.coalesce("n", F.lit(0)).alias("n"))
+    listed = list(hashes)
+    asked = index.dictionary.sparkSession.createDataFrame([(h,) for h in listed], "hash int")
+    if index.counted is None:
+        known = index.frequencies.where(F.col("hash").isin(listed))
+    else:
+        known = _postings(index, listed, key).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+        known = known.unionByName(index.frequencies.where("hash = 0")) if 0 in listed else known
+    return asked.join(known, "hash", "left").select("hash", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def invert(index: KeywordIndex, h: int) -> DataFrame:
@@ -75,6 +117,7 @@ def search(counted: DataFrame, words: Iterable[str], key: str = "stream_id") ->
     wanted = [w.lower() for w in words]
     n = counted.select(key).distinct().count()
     hits = counted.where(F.col("term").isin(wanted))
+    # one row for each word asked for, so the broadcast is bounded by the question
     idf = hits.groupBy("term").agg(F.log(F.lit(float(max(n, 1))) / F.count(F.lit(1))).alias("idf"))
     ranked = hits.join(F.broadcast(idf.limit(len(wanted))), "term").groupBy(key).agg(F.sum(F.col("tf") * F.col("idf")).alias("rank"), F.count(F.lit(1)).alias("n_words"))
     return ranked.orderBy(F.desc("rank"), key)

@@ -5,30 +5,47 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 from pyspark.sql.window import Window
 
 from lexmill.functions import text as T
 
-ANCHOR = r"""(?is)^(.*?)(<a\s+.*?href\s*=\s*(["']?)([^"']*)\3.*?>)(.*)$"""
+ANCHOR = r"""(?is)^.*?<a\s+.*?href\s*=\s*(["']?)([^"']*)\1.*?>(.*)$"""
 
 
 def hyperlinks(items: DataFrame, offset_type: str = "CHARS", require_abs_url: bool = True, domain_substrings: Iterable[str] = (), annotator: str = "author") -> DataFrame:
     """Labels of the texts of ``<a href>`` elements of ``clean_html``: ``stream_id, target_id, first, length, value``.
 
     The page is split at closing tags and each piece carries the length of the
-    pieces before it, so offsets come from one running sum in the page.
+    pieces before it, so offsets come from one running sum in the page; Arrow
+    does both, and hands on only pieces that a tag closes and that name a link.
     """
-    size = F.octet_length if offset_type == "BYTES" else F.length
-    html = F.col("clean_html")
-    pieces = items.select("stream_id", F.split(html, "(?i)</a>", -1).alias("p")).select("stream_id", "p", F.transform("p", lambda x: size(x).cast("long") + 4).alias("n"))
-    lengths = F.slice("n", F.lit(1), F.col("k"))
-    rows = pieces.select("stream_id", "n", F.posexplode("p").alias("k", "part"), F.size("p").alias("parts")).where((F.col("k") < F.col("parts") - 1) & F.col("part").rlike(ANCHOR))
-    before = F.when(F.col("k") > 0, F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x)).otherwise(F.lit(0).cast("long"))
-    group = lambda g: F.regexp_extract("part", ANCHOR, g)
-    found = rows.select("stream_id", group(4).alias("target_id"), (before + size(group(1)) + size(group(2))).cast("long").alias("first"), size(group(5)).cast("int").alias("length"), group(5).alias("value"))
+    size, measure = (F.octet_length, pc.binary_length) if offset_type == "BYTES" else (F.length, pc.utf8_length)
+    kind = dict(items.dtypes)["stream_id"]
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = pc.split_pattern_regex(batch[1].cast(pa.large_string()), "(?i)</a>")
+            parts, off = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+            off = off - off[0]
+            reached = np.concatenate([[0], np.cumsum(measure(parts).to_numpy(zero_copy_only=False).astype(np.int64) + 4)])
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(off))
+            closed = np.ones(len(parts), bool)
+            closed[off[1:][np.diff(off) > 0] - 1] = False
+            at = np.flatnonzero(closed & pc.match_substring(parts, "href", ignore_case=True).to_numpy(zero_copy_only=False))
+            before = reached[at] - reached[off[:-1]][owner[at]]
+            yield pa.RecordBatch.from_arrays([batch[0].take(pa.array(owner[at])), parts.take(pa.array(at)).cast(pa.string()), pa.array(before)], names=["stream_id", "part", "before"])
+
+    rows = items.select("stream_id", "clean_html").mapInArrow(split, f"stream_id {kind}, part string, before long").where(F.col("part").rlike(ANCHOR))
+    # the text is what is left of the piece behind the opening tag
+    rows = rows.select("stream_id", "part", "before", F.regexp_extract("part", ANCHOR, 2).alias("target_id"), F.regexp_extract("part", ANCHOR, 3).alias("value"))
+    found = rows.select("stream_id", "target_id", (F.col("before") + size("part") - size("value")).cast("long").alias("first"), size("value").cast("int").alias("length"), "value")
     if require_abs_url:
         found = found.where(F.lower("target_id").rlike("^https?://"))
     names = list(domain_substrings)
@@ -63,13 +80,46 @@ def covered_text(labels: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def whitespace_tokens(items: DataFrame, text: str = "clean_visible") -> DataFrame:
-    """``stream_id, token_num, token, char_first``: runs of other than ASCII white space, with offsets."""
-    parts = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"), F.lit(0))
-    rows = items.select("stream_id", F.posexplode(parts).alias("k", "part"))
-    order = Window.partitionBy("stream_id").orderBy("k")
-    rows = rows.withColumn("char_first", F.coalesce(F.sum(F.length("part")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"))
-    rows = rows.where(~F.col("part").rlike(r"^[\x20\x09-\x0D]"))
-    return rows.select("stream_id", (F.row_number().over(order) - 1).alias("token_num"), F.col("part").alias("token"), "char_first")
+    """``stream_id, token_num, token, char_first``: runs of other than ASCII white space, with offsets.
+
+    Offsets and numbers lie inside one text, so no row moves: Arrow splits the
+    texts of a batch, and one pass over its bytes gives the offsets.
+    """
+    kind = dict(items.dtypes)["stream_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # bounded parts, for a few very long texts
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                tokens, owner, number, first = token_places(part[1])
+                yield pa.RecordBatch.from_arrays([part[0].take(pa.array(owner)), pa.array(number), tokens, pa.array(first)], names=["stream_id", "token_num", "token", "char_first"])
+
+    return items.select("stream_id", F.col(text).alias("text")).mapInArrow(run, f"stream_id {kind}, token_num int, token string, char_first long")
+
+
+def token_places(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens of the texts, the place of each one's text, its number there and its first character."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[bounds[0] : bounds[-1]] if bounds[-1] > bounds[0] else np.empty(0, np.uint8)
+    bounds = bounds - bounds[0]
+    word = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    begins = word.copy()
+    begins[1:] &= ~word[:-1]
+    starts = bounds[:-1][np.diff(bounds) > 0]
+    begins[starts] = word[starts]
+    ends = word.copy()
+    ends[:-1] &= ~word[1:]
+    ends[starts[starts > 0] - 1] = word[starts[starts > 0] - 1]
+    first, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    # tokens in a row, without what parts them
+    offsets = np.concatenate([[0], np.cumsum(stop - first)]).astype(np.int64)
+    tokens = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(data[word])).cast(pa.string())
+    owner = np.searchsorted(bounds, first, "right") - 1
+    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    number = np.arange(len(first)) - np.searchsorted(first, bounds[:-1])[owner]
+    return tokens, owner, number.astype(np.int32), chars[first] - chars[bounds[:-1]][owner]
 
 
 _SENTENCE = re.compile(r"[.!?]+[\"')\]]*(?=\s+[\"'(\[]?[A-Z0-9\xc0-\xde]|\s*$)")
@@ -187,18 +237,32 @@ def mention_patterns(mention: str) -> list[str]:
     return [m[1] if m[1] is not None else re.escape(m[2]) for m in re.finditer(r'u?r"([^"]*)"|(\S+)', mention)]
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _patterns(mentions: pd.Series) -> pd.Series:
+    return mentions.map(mention_patterns, na_action="ignore")
+
+
 def multi_token_match(tokens: DataFrame, ratings: DataFrame) -> DataFrame:
     """Label runs of tokens that match the words of a mention, case aside; tokens that cleanse to nothing are passed over.
 
-    Mentions are exploded into numbered patterns and joined to the numbered
-    words of the same item: an equi-join, with as many rows as words match.
+    A token that cleanses to several words counts as each of them in turn.
+    Mentions are exploded into numbered steps: plain words are joined to the
+    numbered words of the same item by the word itself, and only steps written
+    as patterns are compared with every word of their item.
     """
-    order = Window.partitionBy("stream_id", "tagger_id").orderBy("token_num")
-    words = tokens.withColumn("__w", T.cleanse(F.col("token"))).where("__w <> ''").withColumn("__n", F.row_number().over(order))
-    parts = F.udf(mention_patterns, "array<string>")
-    mentions = ratings.select("stream_id", "annotator_id", "target_id", F.explode("mentions").alias("__m")).withColumn("__p", parts(F.when(F.col("__m").contains('r"'), F.col("__m")).otherwise(T.cleanse(F.col("__m")))))
-    steps = mentions.select("stream_id", "annotator_id", "target_id", "__m", F.size("__p").alias("__size"), F.posexplode("__p").alias("__k", "__pattern"))
-    hit = words.join(steps, "stream_id").where(F.expr("regexp_like(__w, '(?i)^(?:' || __pattern || ')$')"))
+    keyed = tokens.select("stream_id", "tagger_id", "token_num", F.posexplode(F.split(T.cleanse(F.col("token")), " ")).alias("__part", "__w")).where("__w <> ''")
+    order = Window.partitionBy("stream_id", "tagger_id").orderBy("token_num", "__part")
+    pattern = F.col("__m").contains('r"')
+    mentions = ratings.select("stream_id", "annotator_id", "target_id", F.explode("mentions").alias("__m"))
+    plain = mentions.where(~pattern).select("*", F.split(T.cleanse(F.col("__m")), " ").alias("__p")).where(F.get("__p", F.lit(0)) != "")
+    formed = mentions.where(pattern).select("*", _patterns("__m").alias("__p"))
+    step = ["stream_id", "annotator_id", "target_id", "__m", F.size("__p").alias("__size"), F.posexplode("__p").alias("__k", "__step")]
+    # only items that have a mention are numbered
+    asked = mentions.select("stream_id").distinct()
+    words = keyed.join(asked, "stream_id", "left_semi").withColumn("__n", F.row_number().over(order))
+    hit = words.join(plain.select(*step).withColumnRenamed("__step", "__w"), ["stream_id", "__w"])
+    by_pattern = words.join(formed.select(*step), "stream_id").where(F.expr("regexp_like(__w, '(?i)^(?:' || __step || ')$')")).drop("__step")
+    hit = hit.unionByName(by_pattern)
     runs = hit.groupBy("stream_id", "tagger_id", "annotator_id", "target_id", "__m", (F.col("__n") - F.col("__k")).alias("__begin"), "__size").agg(F.count_distinct("__k").alias("__got"), F.collect_set("token_num").alias("__tokens")).where("__got = __size")
     return runs.select("stream_id", "tagger_id", F.explode("__tokens").alias("token_num"), "annotator_id", "target_id").distinct()
 

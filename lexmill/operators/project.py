@@ -105,12 +105,12 @@ def unconvertible_extract(items: DataFrame, other: DataFrame) -> DataFrame:
 
 
 def documents_to_html(items: DataFrame) -> DataFrame:
-    """``clean_html`` from Word and PDF files; a file that can't be read is dropped."""
+    """``clean_html`` from Word and PDF files; one that can't be read, or has no reader, stays and notes an error."""
     word = F.col("media_type").isin("application/msword", "application/vnd.openxmlformats-officedocument.wordprocessingml.document")
     pdf = F.col("media_type") == "application/pdf"
     rows = items.withColumn("__text", F.when(word | pdf, H.document_text_udf(F.when(word | pdf, F.col("raw")), F.col("media_type"))))
-    kept = rows.where(~F.coalesce(word | pdf, F.lit(False)) | F.col("__text").isNotNull())
-    return kept.withColumn("clean_html", F.coalesce("__text", "clean_html")).drop("__text")
+    noted = note_error(rows, (word | pdf) & F.col("__text").isNull(), "documents_to_html: not readable")
+    return noted.withColumn("clean_html", F.coalesce("__text", "clean_html")).drop("__text")
 
 
 def upgrade_social(items: DataFrame, other: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,7 @@ SPACE = r"[\x09-\x0D\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x
 PUNCT = "[!-/:-@\\[-`{-~]"
 CLEANSE = rf"trim(regexp_replace(regexp_replace(lower(regexp_replace({{0}}, '-[RL].B-', ' ', 'g')), '{PUNCT}', ' ', 'g'), '{SPACE}', ' ', 'g'))"
 TERMS = f"(SELECT doc_id, {_put(CLEANSE, 'w')} AS term FROM (SELECT doc_id, unnest(list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS w FROM documents))"
+D_TERMS = TERMS
 STOP = ", ".join(f"'{w}'" for w in index.STOP_WORDS)
 
 
@@ -137,19 +139,17 @@ def filter_domains_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.filter_domain_substrings(page_items(spark, sf_dir), ["7", "blog"]).select("page_id", "url")
 
 
-@query(f"SELECT number, did AS doc_id FROM {D} WHERE number <> 5 AND source IN ('src1', 'src2')")
+@query(f"SELECT number, did AS doc_id FROM {D} WHERE number <> 5 AND number < 100 AND source IS NOT NULL")
 def id_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = document_items(spark, sf_dir)
-    excluded = items.where("number = 5").select("stream_id")
-    kept = items.join(excluded, "stream_id", "left_anti").where(F.col("source").isin("src1", "src2"))
-    return kept.select("number", "doc_id")
+    """Two thousand document ids are let in, one number's are kept out."""
+    listed = lambda numbers: [hashlib.md5(f"doc://src{s}/{n}".encode()).hexdigest() for s in range(20) for n in numbers]
+    return filters.filter_ids(document_items(spark, sf_dir), excluded_docs=listed([5]), included_docs=listed(range(100))).select("number", "doc_id")
 
 
-@query(f"SELECT page_id, stream_id FROM {P} WHERE page_id IN (3, 5)")
+@query(f"SELECT number, stream_id FROM {D} WHERE number IN (3, 5) AND source IS NOT NULL")
 def debug_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = page_items(spark, sf_dir)
-    accept = [r[0] for r in items.where("page_id in (3, 5)").select("stream_id").collect()]
-    return filters.accept_ids(items, accept).select("page_id", "stream_id")
+    accept = [f"{EPOCH + n}-{hashlib.md5(f'doc://src{s}/{n}'.encode()).hexdigest()}" for s in range(20) for n in (3, 5)]
+    return filters.accept_ids(document_items(spark, sf_dir), accept).select("number", "stream_id")
 
 
 @query("SELECT doc_id, lang FROM documents WHERE lang IN ('en', 'de')")
@@ -250,9 +250,7 @@ def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _terms(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    words = docs.select("doc_id", F.explode(F.split("text", r"[\x20\x09-\x0D]+")).alias("token")).where("token <> ''")
-    return index.terms(words, key="doc_id", **options)
+    return index.text_terms(table(spark, sf_dir, "documents"), "text", "doc_id", **options)
 
 
 @query(f"SELECT doc_id, term, count(*) AS tf FROM {TERMS} WHERE strlen(term) <= 128 AND term NOT IN ({STOP}) GROUP BY 1, 2")
@@ -262,14 +260,14 @@ def keyword_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT term, count(DISTINCT doc_id) AS n FROM {TERMS} WHERE strlen(term) <= 128 GROUP BY 1 UNION ALL SELECT '(documents)', count(DISTINCT doc_id) FROM {TERMS}")
 def doc_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = _terms(spark, sf_dir)
-    total = counted.agg(F.lit("(documents)").alias("term"), F.count_distinct("doc_id").alias("n"))
-    return counted.groupBy("term").agg(F.count(F.lit(1)).alias("n")).unionByName(total)
+    counted = _terms(spark, sf_dir, total="(documents)")
+    return counted.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+@query(f"SELECT term, count(DISTINCT doc_id) AS n FROM {TERMS} WHERE strlen(term) <= 128 AND term <> '' GROUP BY 1")
 def term_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return index.build(_terms(spark, sf_dir, drop_empty=True), "doc_id").dictionary
+    """The dictionary without its hashes, which SQL lacks; tests compare those."""
+    return index.build(_terms(spark, sf_dir, drop_empty=True), "doc_id").dictionary.select("term", "n")
 
 
 @query(f"SELECT doc_id, count(*) AS tf FROM {TERMS} WHERE term = 'license' GROUP BY 1")
@@ -286,7 +284,7 @@ def lookup_or(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT w AS term, count(DISTINCT doc_id) AS n FROM (VALUES ('license'), ('the'), ('no such term')) v(w) LEFT JOIN {TERMS} t ON t.term = v.w GROUP BY 1")
 def df_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = {hashes.term_hash(w): w for w in ("license", "the", "no such term")}
-    found = index.document_frequencies(index.build(_terms(spark, sf_dir), "doc_id"), list(names))
+    found = index.document_frequencies(index.build(_terms(spark, sf_dir), "doc_id"), list(names), "doc_id")
     name = F.lit(None).cast("string")
     for h, w in names.items():
         name = F.when(F.col("hash") == h, w).otherwise(name)
@@ -301,23 +299,6 @@ def keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.search(_terms(spark, sf_dir), ["license", "rights"], "doc_id").withColumn("rank", F.round("rank", 9))
 
 
-@query(f"SELECT did AS doc_id, {EPOCH} + number AS ticks, source FROM {D} WHERE source IS NOT NULL AND source <> ''")
-def source_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return document_items(spark, sf_dir).where("source is not null and source <> ''").select("doc_id", F.col("epoch_ticks").cast("long").alias("ticks"), "source")
-
-
-@query("SELECT epoch_us(ts) // 1000000 AS ticks, event_id FROM events")
-def time_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select(F.unix_seconds(F.col("ts").cast("timestamp")).alias("ticks"), "event_id")
-    return events.repartitionByRange("ticks", "event_id").sortWithinPartitions("ticks", "event_id")
-
-
-@query(f"SELECT stream_id FROM {P} WHERE doc_id = md5('https://site1.example.com/page1') OR page_id = 7")
-def get_by_doc_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = page_items(spark, sf_dir)
-    return items.where((F.col("doc_id") == F.md5(F.lit("https://site1.example.com/page1"))) | (F.col("page_id") == 7)).select("stream_id")
-
-
 @query(f"SELECT stream_id FROM {P} WHERE doc_id >= '40' AND doc_id < '80'")
 def key_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexmill.sources.kv import key_predicate
@@ -419,12 +400,6 @@ def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project.with_identity(rows, epoch=F.lit(EPOCH) + F.col("turn"))
 
 
-@query()
-def dedup_same_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rule = dedup.DedupRule(require_same_doc_id=True, use_nilsimsa=False)
-    return dedup.same_page(dedup.measured(_snapshots(spark, sf_dir), rule), rule)
-
-
 @query()
 def dedup_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = dedup.DedupRule()
@@ -455,14 +430,6 @@ def corpus_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.verify(table(spark, sf_dir, "documents").withColumn("clean_visible", F.col("text")), ["source"])
 
 
-@query("SELECT doc_id, list_sort(list(DISTINCT t)) ::VARCHAR AS targets FROM (SELECT doc_id, 'quality-' || quality AS t FROM labels UNION ALL SELECT doc_id, 'toxic-' || toxic FROM labels) GROUP BY 1")
-def yaml_ratings_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "labels")
-    both = rows.select("doc_id", F.concat(F.lit("quality-"), "quality").alias("t")).unionByName(rows.select("doc_id", F.concat(F.lit("toxic-"), "toxic").alias("t")))
-    found = both.groupBy("doc_id").agg(F.array_sort(F.collect_set("t")).alias("t"))
-    return found.select("doc_id", F.concat(F.lit("["), F.array_join("t", ", "), F.lit("]")).alias("targets"))
-
-
 @query()
 def clean_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = page_items(spark, sf_dir).withColumns({"encoding": F.lit("utf-8"), "clean_html": F.lit(None).cast("string"), "lang_code": F.lit("")})
@@ -474,11 +441,19 @@ def visible_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project.visible_from_raw(page_items(spark, sf_dir)).select("page_id", "clean_visible")
 
 
+_WANTED = "SELECT md5('doc://src' || k % 20 || '/' || k) FROM range(100) r(k)"
+
+
+@query(f"SELECT stream_id, number FROM {D} WHERE did IN ({_WANTED})")
+def find_doc_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = [hashlib.md5(f"doc://src{k % 20}/{k}".encode()).hexdigest() for k in range(100)]
+    return filters.find_ids(document_items(spark, sf_dir), wanted).select("stream_id", "number")
+
+
 @query()
 def find_with_camouflage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = document_items(spark, sf_dir)
-    wanted = [__import__("hashlib").md5(f"doc://src{k % 20}/{k}".encode()).hexdigest() for k in range(100)]
-    return filters.find_ids(items, wanted, 0.1).select("stream_id", "number")
+    wanted = [hashlib.md5(f"doc://src{k % 20}/{k}".encode()).hexdigest() for k in range(100)]
+    return filters.find_ids(document_items(spark, sf_dir), wanted, 0.1).select("stream_id", "number")
 
 
 @query(
@@ -488,6 +463,5 @@ def find_with_camouflage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def top_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: pages to visible text to terms to the 20 with the most documents (a top-k report)."""
     items = project.make_visible(page_items(spark, sf_dir))
-    words = items.select("stream_id", F.explode(F.split("clean_visible", r"[\x20\x09-\x0D]+")).alias("token")).where("token <> ''")
-    counted = index.terms(words, stop_words=index.STOP_WORDS, drop_empty=True)
+    counted = index.text_terms(items, stop_words=index.STOP_WORDS, drop_empty=True)
     return counted.groupBy("term").agg(F.count(F.lit(1)).alias("n_items"), F.sum("tf").alias("tf")).orderBy(F.desc("n_items"), "term").limit(20)

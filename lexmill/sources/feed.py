@@ -61,6 +61,29 @@ ENTRY = {"url": 1, "source": 2, "title": 3, "content": 4, "time": 5}
 KIND_ENTRY, KIND_END = 1, 2
 
 
+def _number(n: int) -> bytes:
+    out = b""
+    while n > 127:
+        out, n = out + bytes([n & 127 | 128]), n >> 7
+    return out + bytes([n])
+
+
+def _string(field: int, value: bytes) -> bytes:
+    return _number(field << 3 | 2) + _number(len(value)) + value
+
+
+def encode_frame(url: str, source: str, content: bytes, time: int) -> bytes:
+    """A length-prefixed entry, as ``read_feed`` takes it."""
+    entry = _string(ENTRY["url"], url.encode()) + _string(ENTRY["source"], source.encode()) + _string(ENTRY["content"], content) + _number(ENTRY["time"] << 3) + _number(time)
+    body = _number(FRAME["kind"] << 3) + _number(KIND_ENTRY) + _string(FRAME["entry"], entry)
+    return _number(len(body)) + body
+
+
+def encode_end() -> bytes:
+    body = _number(FRAME["kind"] << 3) + _number(KIND_END)
+    return _number(len(body)) + body
+
+
 def read_feed(spark: SparkSession, path: str, publisher: str | None = None) -> DataFrame:
     """Entries of feed files up to their end marker; compressed contents are inflated. ``publisher`` filters by source."""
     files = spark.read.format("binaryFile").load(path).select("content")

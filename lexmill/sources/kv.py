@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
+from lexmill.operators.filters import among
 
 _STREAM_ID = re.compile(r"^(-?[0-9]+)-([0-9a-fA-F]+)$")
 
@@ -64,9 +65,11 @@ def get_by_doc_id(items: DataFrame, doc_id: str) -> DataFrame:
     return items.where(F.col("doc_id") == doc_id)
 
 
-def delete(items: DataFrame, stream_ids: list[str]) -> DataFrame:
-    """The table without the ids; write it anew to make it so."""
-    return items.where(~F.col("stream_id").isin(stream_ids))
+def delete(items: DataFrame, stream_ids: DataFrame | list[str]) -> DataFrame:
+    """The table without the ids (a list, or a table ``stream_id``); write it anew to make it so."""
+    if isinstance(stream_ids, list):
+        return among(items, "stream_id", stream_ids, False)
+    return items.join(stream_ids.select("stream_id"), "stream_id", "left_anti")
 
 
 def index_tables(items: DataFrame) -> dict[str, DataFrame]:

@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+from lexmill.plans import round_trips  # noqa: F401  registers its queries
 from lexmill.plans.queries import QUERIES, SQL
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -42,8 +43,10 @@ def test_runs(spark, name):
 
 def test_dictionary_has_the_public_hash(spark):
     from lexmill.functions.hashes import term_hash
+    from lexmill.operators import index
+    from lexmill.plans.queries import _terms
 
-    assert all(r["hash"] == term_hash(r["term"]) for r in QUERIES["term_dictionary"](spark, DATA).limit(200).collect())
+    assert all(r["hash"] == term_hash(r["term"]) for r in index.build(_terms(spark, DATA), "doc_id").dictionary.limit(200).collect())
 
 
 def test_entry(spark):
@@ -51,10 +54,3 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() == 20
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
-
-
-def test_id_filter_drops_any_number_of_items(spark, tmp_path):
-    source = "if(id < 100005, concat('x', id), 'src1') AS source"
-    docs = spark.range(0, 100_007, 1, 1).selectExpr("if(id = 100006, 6L, 5L) AS doc_id", "'text' AS text", "'en' AS lang", source)
-    docs.write.parquet(str(tmp_path / "documents.parquet"))
-    assert [r["number"] for r in QUERIES["id_filter"](spark, str(tmp_path)).collect()] == [6]

@@ -2,65 +2,18 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lexmill.sinks.workspace import Workspace, shared_dir  # noqa: F401
+
 #: Java and RE2 form of one run of ASCII white space.
 WS = r"[\x20\x09-\x0D]+"
 #: Bytes of a table that is broadcast at most.
 BROADCAST_BYTES = 16_000_000
 WS_CHARS = " \t\n\x0b\x0c\r"
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, as the session names it in ``spark.checkpoint.dir``.
-
-    Where the setting is missing, a local session gets a temporary folder that
-    goes when Python ends; a cluster session gets an error, because executors
-    could not read each other's files there.
-    """
-    conf = spark.sparkContext.getConf()
-    if base := conf.get("spark.checkpoint.dir", None):
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own:
-        _own[app] = tempfile.mkdtemp(prefix="lexmill-")
-        atexit.register(shutil.rmtree, _own[app], ignore_errors=True)
-    return "file://" + _own[app]
-
-
-class Workspace:
-    """Tables and files of one operator call, written under the shared folder.
-
-    A written table cuts the lineage: a lost executor costs the re-read of
-    some files, never the steps before them.
-    """
-
-    def __init__(self, spark: SparkSession, name: str) -> None:
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/lexmill/{name}-{uuid.uuid4().hex}"
-
-    def table(self, df: DataFrame, name: str, **options: str) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.options(**options).mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, name: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def small_arrow_batches(spark: SparkSession, rows: int = 512) -> None:
     """Keep Arrow batches of whole texts small: a few very long texts must fit a worker's memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -46,9 +46,9 @@ def _digit(level: int) -> tuple[Column, int]:
     return F.shiftright(column, shift).bitwiseAND((1 << width) - 1), shift
 
 
-def _below(key: tuple[int, int, int]) -> Column:
-    """Whether a row's key is below ``key``."""
-    k = [F.col(f"k{i}") for i in range(3)]
+def _below(key: tuple[int, int, int], names: tuple[str, str, str]) -> Column:
+    """Whether a row's key, in the named columns, is below ``key``."""
+    k = [F.col(n) for n in names]
     return (k[0] < key[0]) | ((k[0] == key[0]) & ((k[1] < key[1]) | ((k[1] == key[1]) & (k[2] < key[2]))))
 
 
@@ -118,10 +118,10 @@ def _probe(key: tuple[int, int, int], part: int, step: int, digit: int, shift: i
     return tuple(begin)
 
 
-def shard_of(found: list[Splitter]) -> Column:
+def shard_of(found: list[Splitter], names: tuple[str, str, str] = ("k0", "k1", "k2")) -> Column:
     out = F.lit(0)
     for s in found:
-        out = out + F.when(_below(s.key), 0).otherwise(1)
+        out = out + F.when(_below(s.key, names), 0).otherwise(1)
     return out.cast("int")
 
 
@@ -146,10 +146,15 @@ def write(docs: DataFrame, path: str, shards: int = 16, tolerance: float = 0.005
     """Write the documents, all columns, as one folder ``shard=k`` each, after a single exchange of the texts.
 
     Rows are placed by the splitters alone. A group of rows equal in text and
-    ``doc_id`` stays in one shard here.
+    ``doc_id`` stays in one shard here. Where the documents have a column
+    ``shard``, that of the folders gets underscores behind its name.
     """
     ws = Workspace(docs.sparkSession, "sharding")
     found = splitters(ws.table(sized(docs), "sized"), shards, tolerance)
-    keyed = docs.withColumns({"k0": F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), "k1": F.coalesce(F.col("doc_id").cast("long"), F.lit(LOW)), "k2": F.lit(0).cast("long")})
-    keyed = keyed.withColumn("shard", shard_of(found)).repartitionByRange(4 * shards, "shard", "k0", "k1")
-    keyed.sortWithinPartitions("shard", "k0", "k1").drop("k0", "k1", "k2").write.partitionBy("shard").parquet(path)
+    folder = "shard"
+    while folder in docs.columns:
+        folder += "_"
+    own = ("__lexmill_k0", "__lexmill_k1", "__lexmill_k2")
+    keyed = docs.withColumns({own[0]: F.xxhash64(F.coalesce(F.col("text"), F.lit(""))), own[1]: F.coalesce(F.col("doc_id").cast("long"), F.lit(LOW)), own[2]: F.lit(0).cast("long")})
+    keyed = keyed.withColumn(folder, shard_of(found, own)).repartitionByRange(4 * shards, folder, *own[:2])
+    keyed.sortWithinPartitions(folder, *own[:2]).drop(*own).write.partitionBy(folder).parquet(path)

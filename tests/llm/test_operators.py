@@ -322,8 +322,39 @@ def test_sharding(spark, docs):
 
 
 def test_sharding_writes_folders(spark, docs, tmp_path):
-    sharding.write(docs.drop("shard"), str(tmp_path / "out"), 4)
-    assert spark.read.parquet(str(tmp_path / "out")).count() == len(corpus())
+    """All columns come back, also those whose names the operator uses."""
+    wide = docs.withColumns({"k1": F.lit(7), "k2": F.lit("z")})
+    sharding.write(wide, str(tmp_path / "out"), 4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert set(back.columns) == {*wide.columns, "shard_"}
+    assert Counter(back.select(*wide.columns).collect()) == Counter(wide.collect())
+
+
+def test_sharding_by_brute_force(spark):
+    """Shards follow the order of (text hash, id); each cut is as near to its goal as a cut at a text can be, or within tolerance."""
+    rng = random.Random(3)
+    rows = [(i, "x" * rng.randrange(1, 300) + str(i % 900), "s") for i in range(3000)]
+    data = frame(spark, rows)
+    got = {r["doc_id"]: r for r in sharding.assign(data, 8, 0.01).collect()}
+    keys = sorted((r["k0"], r["k1"], r["doc_id"]) for r in sharding.sized(data).collect())
+    sizes = {i: len(t.encode()) + 1 for i, t, _ in rows}
+    total = sum(sizes.values())
+    order = [got[i]["shard"] for *_, i in keys]
+    assert order == sorted(order) and set(order) == set(range(8))
+    for shard in range(8):
+        own = [i for *_, i in keys if got[i]["shard"] == shard]
+        assert sorted(got[i]["slot"] for i in own) == list(range(len(own)))
+    texts = dict((i, t) for i, t, _ in rows)
+    for k in range(1, 8):
+        below = sum(sizes[i] for i in got if got[i]["shard"] < k)
+        ends, at, last = [0], 0, None
+        for h, _, i in keys:
+            if last is not None and h != last:
+                ends.append(at)
+            at, last = at + sizes[i], h
+        best = min(abs(e - total * k / 8) for e in [*ends, at])
+        assert abs(below - total * k / 8) <= max(0.01 * total / 8, best) + 1e-6
+    assert all(zlib.crc32(texts[i].encode()) == got[i]["text_crc32"] and sizes[i] == got[i]["size"] for i in got)
 
 
 def brute_spans(t):

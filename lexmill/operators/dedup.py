@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import hashes
 from lexmill.functions import text as T
+from lexmill.sinks.workspace import Workspace
 
 
 @dataclass(frozen=True)
@@ -23,6 +25,7 @@ class DedupRule:
     clean_thousandths: int = 850
     raw_thousandths: int = 850
     require_same_doc_id: bool = False
+    content_form: str = "clean_visible"
 
 
 def thousandths(a: int, b: int) -> float:
@@ -42,11 +45,14 @@ def is_repeat(kept: tuple, new: tuple, rule: DedupRule) -> bool:
 
 
 def measured(items: DataFrame, rule: DedupRule) -> DataFrame:
-    """``stream_id, doc_id, epoch_ticks, digest, n_clean, n_raw``: all that the comparison needs, without texts."""
-    clean = F.coalesce(T.cleanse(F.col("clean_visible")), F.lit(""))
+    """``stream_id, doc_id, epoch_ticks, digest, n_clean, n_raw``: all that the comparison needs, without texts.
+
+    The content is digested as it stands.
+    """
+    clean = F.coalesce(F.col(rule.content_form), F.lit(""))
     digest = hashes.nilsimsa_udf(clean) if rule.use_nilsimsa else F.lit("0" * 64)
     raw = F.octet_length("raw") if "raw" in items.columns else F.lit(0)
-    return items.select("stream_id", "doc_id", "epoch_ticks", digest.alias("digest"), F.octet_length(F.coalesce("clean_visible", F.lit(""))).cast("long").alias("n_clean"), F.coalesce(raw, F.lit(0)).cast("long").alias("n_raw"))
+    return items.select("stream_id", "doc_id", "epoch_ticks", digest.alias("digest"), F.octet_length(clean).cast("long").alias("n_clean"), F.coalesce(raw, F.lit(0)).cast("long").alias("n_raw"))
 
 
 def same_page(rows: DataFrame, rule: DedupRule = DedupRule()) -> DataFrame:
@@ -95,13 +101,72 @@ def same_digest(rows: DataFrame) -> DataFrame:
     return rows.join(first, "digest", "left").select("stream_id", F.coalesce((F.col("n_clean") == 0) | (F.col("stream_id") == F.col("first.stream_id")), F.lit(True)).alias("kept"))
 
 
+def _groups(ws: Workspace, edges: DataFrame, rounds: int = 100) -> DataFrame:
+    """``doc_id, root`` of the pages that edges ``u, v`` join: the least page that each one reaches, by doubling steps."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+    both = ws.table(both, "edges")
+    labels = ws.table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root")), "labels0")
+    for k in range(1, rounds):
+        near = both.join(labels.select(F.col("u").alias("v"), F.col("root").alias("r")), "v").groupBy("u").agg(F.min("r").alias("r"))
+        step = labels.join(near, "u").select("u", F.least("root", "r").alias("root"), F.col("root").alias("old"))
+        above = step.select(F.col("u").alias("root"), F.col("root").alias("top"))
+        step = ws.table(step.join(above, "root", "left").select("u", F.least("root", F.coalesce("top", "root")).alias("root"), "old"), f"labels{k}")
+        changed = step.where("root <> old").limit(1).count()
+        labels = step.drop("old")
+        if not changed:
+            return labels.select(F.col("u").alias("doc_id"), "root")
+    raise RuntimeError(f"groups of pages still change after {rounds} rounds")
+
+
+def across_pages(rows: DataFrame, rule: DedupRule = DedupRule()) -> DataFrame:
+    """``stream_id, kept`` of measured rows: each is compared with the kept one of its page, then with those of all other pages.
+
+    Only a kept row is compared with later; it takes the place of its page's
+    kept one. Pages that never have digests of similarity ``exactness`` can't
+    meet, so pages are grouped by such digests (equal ones, or found by bands)
+    and each group is one ordered fold, sorted by the shuffle; its state is one
+    row for each page of the group.
+    """
+    ws = Workspace(rows.sparkSession, "dedup")
+    rows = ws.table(rows, "measured")
+    some = rows.where("n_clean > 0")
+    least = some.groupBy("digest").agg(F.min("doc_id").alias("u"))
+    edges = some.join(least, "digest").select("u", F.col("doc_id").alias("v"))
+    if rule.exactness < 128:
+        pairs = digest_bands(rows, rule.exactness)
+        of = lambda x: least.select(F.col("digest").alias(x), F.col("u").alias(f"d{x}"))
+        edges = edges.unionByName(pairs.join(of("a"), "a").join(of("b"), "b").select(F.col("da").alias("u"), F.col("db").alias("v")))
+    groups = _groups(ws, edges.where("u <> v"))
+    placed = rows.join(groups, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    ordered = placed.repartition("root").sortWithinPartitions("root", "epoch_ticks", "stream_id")
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group, pages, digests = object(), {}, Counter()
+        for frame in frames:
+            kept = []
+            for root, doc, digest, clean, raw in zip(frame["root"], frame["doc_id"], frame["digest"], frame["n_clean"], frame["n_raw"], strict=True):
+                if root != group:
+                    group, pages, digests = root, {}, Counter()
+                new = (bytes.fromhex(digest), int(clean), int(raw))
+                keep = doc not in pages or not is_repeat(pages[doc], new, rule)
+                if keep and clean:
+                    keep = not digests[new[0]] if rule.exactness >= 128 else all(hashes.similarity(new[0], d) < rule.exactness for d in digests)
+                if keep:
+                    if doc in pages:
+                        digests -= Counter([pages[doc][0]])
+                    pages[doc] = new
+                    digests[new[0]] += 1
+                kept.append(keep)
+            yield pd.DataFrame({"stream_id": frame["stream_id"], "kept": kept})
+
+    return ordered.mapInPandas(fold, "stream_id string, kept boolean")
+
+
 def dedup(items: DataFrame, rule: DedupRule = DedupRule()) -> DataFrame:
-    """Items that repeat neither an earlier snapshot of their page nor, unless ``require_same_doc_id``, another page's digest."""
+    """Items that repeat neither an earlier snapshot of their page nor, unless ``require_same_doc_id``, the kept one of another page."""
     rows = measured(items, rule)
-    kept = same_page(rows, rule).where("kept").select("stream_id")
-    if rule.use_nilsimsa and not rule.require_same_doc_id:
-        kept = same_digest(rows.join(kept, "stream_id", "left_semi")).where("kept").select("stream_id")
-    return items.join(kept, "stream_id", "left_semi")
+    kept = across_pages(rows, rule) if rule.use_nilsimsa and not rule.require_same_doc_id else same_page(rows, rule)
+    return items.join(kept.where("kept").select("stream_id"), "stream_id", "left_semi")
 
 
 def text_profile(items: DataFrame, key: str = "stream_id", text: str = "clean_visible") -> DataFrame:

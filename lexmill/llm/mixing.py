@@ -96,7 +96,9 @@ def mixed(docs: DataFrame, quality: DataFrame | None = None, **options: object)
     joined = hashed.join(index, hashed["doc_id"].eqNullSafe(index["__id"]) & (hashed["__h"] == index["__hash"]))
     joined = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("__taken") / F.col("__size")))))
     cut = F.col("__copy") * F.col("__size") > F.col("__taken")
-    text = F.when(cut, F.array_join(F.slice(words(F.col("text")), F.lit(1), (F.col("__taken") % F.col("__size")).cast("int")), " ")).otherwise(F.col("text"))
+    # words with the white space before them, so that a cut text keeps its lines
+    spaced = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    text = F.when(cut, F.array_join(F.slice(spaced, F.lit(1), (F.col("__taken") % F.col("__size")).cast("int")), "")).otherwise(F.col("text"))
     joined = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))

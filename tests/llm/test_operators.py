@@ -114,6 +114,14 @@ def test_ngram_join(docs):
     assert kept.columns == docs.columns and kept.where("doc_id = 3").count() == 3
 
 
+def test_keep_one_tells_rows_apart_by_id_and_text(spark):
+    words = [f"w{k}" for k in range(60)]
+    text, other = " ".join(words), " ".join(reversed(words))
+    rows = [(1, text, "s"), (1, other, "s"), (2, text + " more", "s"), (None, text, "s"), (None, "quite another text", "s"), (None, None, "s")]
+    got = Counter((r["doc_id"], r["text"]) for r in ngram_join.keep_one(frame(spark, rows)).collect())
+    assert got == Counter([(1, text), (1, other), (None, "quite another text"), (None, None)])
+
+
 @pytest.mark.parametrize("cell", [4096, 3])
 def test_ngram_join_of_frequent_grams_and_long_sets(spark, monkeypatch, cell):
     """A cluster of near copies, a passage in many texts, long sets in many fragments; small cells, blocks and segments."""
@@ -199,6 +207,8 @@ def test_mix(spark, docs):
     assert made.columns == docs.columns
     assert sum(len(WS.findall(r["text"])) for r in made.collect()) == sum(r["taken"] for r in mixing.mix(docs).collect())
     assert mixing.mix(docs.limit(0)).count() == 0
+    texts = [t for _, t, _ in corpus() if t]
+    assert all(any(t.startswith(r["text"]) for t in texts) for r in made.collect())
 
 
 def test_packing(docs):
@@ -568,7 +578,7 @@ def test_toxicity_grammar_and_learning(spark):
                 words[rng.randrange(40)] = rng.choice(["grobnik", "vlitz", "snorf"])
         rows.append((i, " ".join(words) + ".", "s"))
         labels.append((i, 1, int(bad)))
-    rows += [(None, None, None), (700, "", "s")]
+    rows += [(None, None, None), (700, "", "s"), (None, "grobnik vlitz snorf grobnik vlitz snorf word.", "s")]
     frame_ = frame(spark, rows)
     marked = spark.createDataFrame([*labels, (None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
     got = toxicity.score(frame_, toxicity.train(frame_, marked)).collect()
@@ -577,6 +587,7 @@ def test_toxicity_grammar_and_learning(spark):
     assert out and sum(a == b for a, b in out) / len(out) > 0.95
     kept = toxicity.keep_clean(frame_, marked)
     assert kept.columns == frame_.columns and 460 <= kept.count() <= 500
+    assert kept.where("text like 'grobnik vlitz%'").count() == 0 and kept.where("doc_id is null and text is null").count() == 1
     assert toxicity.score(frame_, toxicity.train(frame_.limit(0), marked)).count() == len(rows)
 
 

@@ -61,8 +61,8 @@ def filter_domains(items: DataFrame, domains: Iterable[str]) -> DataFrame:
     """Items whose URL host, or else ``schost``, is one of the domains or below one."""
     names = [d.lower().strip("/") for d in domains]
     if len(names) <= LITERALS:
-        listed = F.array(*[F.lit(n) for n in names]).cast("array<string>")
-        hit = lambda c: F.coalesce(F.arrays_overlap(T.left_cuts(T.host(F.col(c))), listed), F.lit(False))
+        literal = F.array(*[F.lit(n) for n in names]).cast("array<string>")
+        hit = lambda c: F.coalesce(F.arrays_overlap(T.left_cuts(T.host(F.col(c))), literal), F.lit(False))
         return items.where(hit("abs_url") | hit("schost"))
     found = items.select("*", F.array_union(T.left_cuts(T.host(F.coalesce("abs_url", F.lit("")))), T.left_cuts(T.host(F.coalesce("schost", F.lit(""))))).alias("__cuts"))
     hits = found.select("stream_id", F.explode("__cuts").alias("__domain")).join(listed(items, "__domain", names), "__domain", "left_semi").select("stream_id").distinct()

@@ -3,6 +3,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -599,3 +600,15 @@ def test_running_sum(spark):
         assert r["before"] == sums[r["g"]]
         sums[r["g"]] += r["v"]
     assert len(got) == 500
+
+
+def test_a_missing_trie_file_raises(spark):
+    import glob
+    import os
+
+    docs = frame(spark, [(k, f"a b c w{k}", "s") for k in range(30)])
+    trie = lm_scoring.train(docs, order=3)
+    for path in glob.glob("/" + trie.folder.split(":", 1)[-1].lstrip("/") + "/grams-2-*"):
+        os.remove(path)
+    with pytest.raises(Exception, match="grams-2"):
+        lm_scoring.score(docs, replace(trie, concentration=7.0, folder=trie.folder + "/.")).collect()

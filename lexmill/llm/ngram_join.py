@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,15 @@ BLOCK, SEGMENT = 64, 512
 CELL = 4096
 #: Added to the count of rare grams that a pair shares for each frequent gram at which it meets.
 HOT = 1 << 40
+#: First grams of a set in the order of hashes: runs of three, unlike grams seldom shared by chance, find a node's center;
+#: and nodes that must hold a run.
+SKETCH, GROUP = 10, 32
+#: Times that nodes not linked to their center look for another; those left over meet as nodes without a group.
+TRIES = 2
+#: Nodes of a group that are compared with as many at once, and grams of their differences at most, on average.
+SIDE, DIFFERENCES = 512, 500_000
+#: Grams of centers' sets that are broadcast at most, 8 MB.
+CENTER_GRAMS = 1_000_000
 #: Places of nodes in blocks that are broadcast at most: five numbers each, 16 MB.
 PLACES = 250_000
 #: Stands for a null ``doc_id`` where documents are looked up.
@@ -114,11 +124,17 @@ def _prefix(grams: Column, rule: Jaccard, frequent: Callable[[Column], Column])
 
 @dataclass
 class Links:
-    """``members`` (doc_id, text_hash, n_shingles, node, first, n_docs), ``nodes`` (node, first, n_docs, h1, h2), ``links`` (a, b, overlap)."""
+    """``members`` (doc_id, text_hash, n_shingles, node, first, n_docs), ``nodes`` (node, first, n_docs, h1, h2), ``links`` (a, b, overlap).
+
+    ``groups`` (node, center) are nodes that are linked to a center. Links inside a group are in ``inner`` (node, degree),
+    the documents of the linked nodes of the same group, and not in ``links``.
+    """
 
     members: DataFrame
     nodes: DataFrame
     links: DataFrame
+    groups: DataFrame
+    inner: DataFrame
     total: int
     ws: Workspace
 
@@ -131,11 +147,15 @@ def similar(docs: DataFrame, rule: Jaccard = Jaccard()) -> Links:
 
     1. Every text is shingled once; the first ``n - least + 1`` grams of its
        set are written. Linked nodes share one of them.
-    2. Nodes meet in the grams of these prefixes, and a pair stays a candidate
+    2. A node that shares a run of its first grams with many others is compared
+       with one of those, their center (see ``_runs``). Nodes linked to the same center form a
+       group; a set is the center's but for few grams, so two sets of a group
+       are compared by these differences, exactly, and no pair is written.
+    3. Nodes of different groups meet in the grams of the prefixes, and a pair stays a candidate
        if the grams that it may share could reach the overlap it needs. At a
        frequent gram a pair is passed on only when it did not meet at one of
        the grams just before; a very frequent gram is spread over cells.
-    3. The global order is cut into fragments by its leading bits, for long
+    4. The global order is cut into fragments by its leading bits, for long
        sets into more, so that a segment (a set's grams in a fragment) is
        bounded. Each fragment counts the partial overlap of the candidates by
        itself, and the partial overlaps are summed per pair: that sum decides.
@@ -146,8 +166,8 @@ def similar(docs: DataFrame, rule: Jaccard = Jaccard()) -> Links:
     ws = Workspace(docs.sparkSession, "ngram-join")
     frequent = _frequent(ws, docs, rule)
     sets = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), shingles(F.col("text"), rule.n).alias("grams"))
-    made = sets.select("doc_id", "text_hash", F.xxhash64("grams").alias("h1"), F.xxhash64(F.lit(1), "grams").alias("h2"), F.size("grams").alias("n"), F.transform(F.array("grams"), lambda g: _prefix(g, rule, frequent))[0].alias("p"), F.monotonically_increasing_id().alias("rid"))
-    rows = ws.table(made.select("doc_id", "text_hash", "h1", "h2", "n", "p.rare", "p.hot", "rid"), "prefixes")
+    made = sets.select("doc_id", "text_hash", F.xxhash64("grams").alias("h1"), F.xxhash64(F.lit(1), "grams").alias("h2"), F.size("grams").alias("n"), _runs(F.slice("grams", 1, SKETCH)).alias("sketch"), F.transform(F.array("grams"), lambda g: _prefix(g, rule, frequent))[0].alias("p"), F.monotonically_increasing_id().alias("rid"))
+    rows = ws.table(made.select("doc_id", "text_hash", "h1", "h2", "n", "sketch", "p.rare", "p.hot", "rid"), "prefixes")
     first = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     nodes = rows.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(first).alias("first"), F.min("rid").alias("node"), F.count(F.lit(1)).alias("n_docs"))
     nodes = ws.table(nodes, "nodes")
@@ -156,15 +176,81 @@ def similar(docs: DataFrame, rule: Jaccard = Jaccard()) -> Links:
     members = skew_lookup(rows.select("doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "h1", "h2", "rid"), index, ["h1", "h2"], "n_docs", total).drop("h1", "h2")
     members = ws.table(members, "members")
     copies = ws.table(members.where("rid <> node").select("rid"), "copies")
-    candidates = _candidates(ws, rows, copies, rule)
-    ws.drop("prefixes")
     repeated = members.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("k")).where("k > 1").limit(1).count() > 0
+    groups, inner = _groups(ws, rows, copies, docs, nodes, repeated, rule)
+    candidates = _candidates(ws, rows, copies, groups, rule)
+    ws.drop("prefixes")
     links = ws.table(_overlaps(ws, candidates, docs, nodes, repeated, rule), "links")
-    return Links(members.drop("rid"), nodes, links, total, ws)
+    return Links(members.drop("rid"), nodes, links, groups, inner, total, ws)
+
+
+def _runs(grams: Column) -> Column:
+    """Hashes of the runs of three neighbours of an array."""
+    at = F.sequence(F.lit(0), F.size(grams) - 3)
+    return F.when(F.size(grams) < 3, F.array().cast("array<bigint>")).otherwise(F.transform(at, lambda i: F.xxhash64(grams[i], grams[i + 1], grams[i + 2])))
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, repeated: bool, rule: Jaccard) -> DataFrame:
+    """The rows of ``wanted`` (a written table, one row per ``node``) with ``grams``, the node's set; the texts are read once more."""
+    whose = nodes.select("node", F.coalesce(F.col("first.id").cast("long"), F.lit(NULL_KEY)).alias("key"), F.col("first.hash").alias("text_hash"))
+    wanted = wanted.join(whose, "node")
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_KEY)).alias("key"), F.xxhash64("text").alias("text_hash"), "text")
+    near = bit_filter(keyed, wanted, ["key", "text_hash"])
+    if repeated:
+        near = near.groupBy("key", "text_hash").agg(F.first("text").alias("text"))
+    near = near.join(wanted, ["key", "text_hash"])
+    return near.withColumn("grams", shingles(F.col("text"), rule.n)).drop("key", "text_hash", "text")
+
 
+def _groups(ws: Workspace, rows: DataFrame, copies: DataFrame, docs: DataFrame, nodes: DataFrame, repeated: bool, rule: Jaccard) -> tuple[DataFrame, DataFrame]:
+    """``node, center`` of nodes that are linked to a center, and ``node, degree``: documents of the nodes of the same group linked to each.
 
-def _candidates(ws: Workspace, rows: DataFrame, copies: DataFrame, rule: Jaccard) -> DataFrame:
-    """``a, b, na, nb`` of the pairs of nodes that meet in their prefixes and may be links, as a written table.
+    Which node is a center decides where a pair is compared, never a result.
+    With ``c`` the overlap of a set and its center, and ``d`` the grams that
+    only one of the two holds, two sets of a group share
+    ``c_x + c_y - n_center + |d_x & d_y|`` grams.
+    """
+    own = rows.where("n > 0").join(copies, "rid", "left_anti")
+    keys = ws.table(own.select(F.col("rid").alias("node"), F.explode("sketch").alias("run")), "keys0")
+    total = rule.num + rule.den
+    tries = []
+    for k in range(1, TRIES + 1):
+        often = keys.groupBy("run").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= GROUP)
+        keys = ws.table(keys.join(often, "run").select("node", "run", "f"), f"keys{k}")
+        if tries and keys.isEmpty():
+            break
+        # the node whose runs most others hold is likely the one that the others were made from
+        weight = keys.groupBy("node").agg(F.sum("f").alias("q"))
+        best = keys.join(weight, "node").groupBy("run").agg(F.max(F.struct("q", (-F.col("node")).alias("c"))).alias("best"))
+        chosen = keys.join(best, "run").groupBy("node").agg((-F.max("best")["c"]).alias("center"))
+        chosen = ws.table(chosen.join(nodes.select("node", "n_docs"), "node"), f"chosen{k}")
+        wanted = ws.table(chosen.select(F.col("center").alias("node")).distinct(), f"wanted{k}")
+        centers = ws.table(_sets(docs, nodes, wanted, repeated, rule).select(F.col("node").alias("center"), F.col("grams").alias("of_center")), f"centers{k}")
+        size = centers.agg(F.coalesce(F.sum(F.size("of_center")), F.lit(0))).first()[0]
+        near = _sets(docs, nodes, chosen, repeated, rule).join(F.broadcast(centers) if size <= CENTER_GRAMS else centers, "center")
+        near = near.select("node", "center", "n_docs", F.size("grams").alias("n"), F.size("of_center").alias("nc"), F.array_except("of_center", "grams").alias("gone"), F.array_except("grams", "of_center").alias("new"))
+        near = near.select("node", "center", "n_docs", "n", "nc", (F.col("nc") - F.size("gone")).alias("c"), F.concat("gone", "new").alias("d"))
+        tries.append(ws.table(near.where(F.col("c").cast("long") * total >= (F.col("n") + F.col("nc")).cast("long") * rule.num), f"grouped{k}"))
+        keys = keys.drop("f").join(tries[-1].select("node"), "node", "left_anti").join(wanted, "node", "left_anti")
+    grouped = reduce(DataFrame.unionByName, tries)
+
+    # sides of a square: each meets each, so that a large group is many tasks and a row of long sets is bounded
+    spread = grouped.groupBy("center").agg(F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(SIDE), F.sum(F.size("d")) / F.lit(DIFFERENCES))).cast("int").alias("k"))
+    lists = grouped.join(spread, "center").groupBy("center", "nc", "k", F.pmod(F.hash("node"), F.col("k")).alias("i")).agg(F.collect_list(F.struct("node", "n_docs", "n", "c", "d")).alias("s"))
+    lists = ws.table(lists, "sides")
+    left = lists.select("center", "nc", F.col("s").alias("left"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("i"))
+    both = left.join(lists.select("center", "i", F.col("s").alias("right")), ["center", "i"])
+    pairs = both.select("nc", "right", F.explode("left").alias("x")).select("nc", "x", F.explode("right").alias("y"))
+    least = (F.col("x.n") + F.col("y.n")).cast("long") * rule.num
+    low = (F.col("x.c") + F.col("y.c") - F.col("nc")).cast("long")
+    most = low + F.least(F.size("x.d"), F.size("y.d"))
+    linked = F.when(low * total >= least, True).when(most * total < least, False).otherwise((low + F.size(F.array_intersect("x.d", "y.d"))) * total >= least)
+    inner = pairs.where((F.col("x.node") != F.col("y.node")) & linked).groupBy(F.col("x.node").alias("node")).agg(F.sum("y.n_docs").alias("degree"))
+    return grouped.select("node", "center"), ws.table(inner, "inner")
+
+
+def _candidates(ws: Workspace, rows: DataFrame, copies: DataFrame, groups: DataFrame, rule: Jaccard) -> DataFrame:
+    """``a, b, na, nb`` of the pairs of nodes, not of one group, that meet in their prefixes and may be links, as a written table.
 
     All grams before the last rare one that a pair shares are known, so its
     overlap is at most the rare grams shared and what follows in either set.
@@ -174,21 +260,23 @@ def _candidates(ws: Workspace, rows: DataFrame, copies: DataFrame, rule: Jaccard
     # one long a row: up to a million of them are broadcast
     copies = F.broadcast(copies) if copies.count() <= 1_000_000 else copies
     own = rows.where("n > 0").join(copies, "rid", "left_anti").select(F.col("rid").alias("node"), "n", "rare", "hot")
+    # and two longs a row: up to half a million of them
+    own = own.join(F.broadcast(groups) if groups.count() <= 500_000 else groups, "node", "left")
     size, place = lambda c: F.shiftright(c, 16), lambda c: F.col(c).bitwiseAND((1 << 16) - 1)
     small, large = F.least(size("ma"), size("mb")), F.greatest(size("ma"), size("mb"))
-    near = (F.col("a") < F.col("b")) & (small * rule.den >= large * rule.num)
+    near = (F.col("a") < F.col("b")) & F.coalesce(F.col("center_a") != F.col("center_b"), F.lit(True)) & (small * rule.den >= large * rule.num)
     # a set's size, and how many of its grams come up to here; a lower number than the true one is a weaker bound
     packed = lambda at: F.shiftleft(F.col("n").cast("long"), 16).bitwiseOR(F.least(at, F.lit((1 << 16) - 1)).cast("long")).alias("m")
 
     def side(df: DataFrame, name: str, *extra: Column) -> DataFrame:
-        return df.select(F.col("node").alias(name), F.col("m").alias(f"m{name}"), "gram", *extra)
+        return df.select(F.col("node").alias(name), F.col("m").alias(f"m{name}"), F.col("center").alias(f"center_{name}"), "gram", *extra)
 
-    rare = own.select("node", "n", F.posexplode("rare").alias("at", "gram")).select("node", packed(F.col("at") + 1), "gram")
+    rare = own.select("node", "n", "center", F.posexplode("rare").alias("at", "gram")).select("node", packed(F.col("at") + 1), "center", "gram")
     met = side(rare, "a").join(side(rare, "b"), "gram").where(near).select("a", "b", "ma", "mb", F.lit(1).cast("long").alias("c"))
 
-    hot = own.where(F.size("hot") > 0).select("node", packed(F.size("rare")), "hot", F.posexplode("hot").alias("at", "gram"))
+    hot = own.where(F.size("hot") > 0).select("node", packed(F.size("rare")), "center", "hot", F.posexplode("hot").alias("at", "gram"))
     before = F.slice("hot", F.greatest(F.lit(1), F.col("at") + 1 - BEFORE), F.least(F.col("at"), F.lit(BEFORE)))
-    hot = hot.select("node", "m", "gram", before.alias("before"))
+    hot = hot.select("node", "m", "center", "gram", before.alias("before"))
     big = ws.table(hot.groupBy("gram").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") > CELL).select("gram", F.ceil(F.col("f") / CELL).cast("int").alias("k")), "cells")
     hot = hot.join(big, "gram", "left").withColumn("k", F.coalesce("k", F.lit(1))).withColumn("own", F.pmod(F.hash("node"), F.col("k")))
     # a pair meets in the cell of its nodes' numbers, the lesser first
@@ -298,7 +386,9 @@ def _linked(docs: DataFrame, rule: Jaccard) -> DataFrame:
     ends = found.links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(found.links.select(F.col("b").alias("node"), F.col("a").alias("other")))
     sizes = found.nodes.select(F.col("node").alias("other"), F.col("n_docs").alias("other_docs"))
     degree = ends.join(sizes, "other").groupBy("node").agg(F.sum("other_docs").alias("degree"))
-    part = found.ws.table(components(found.ws, found.links), "components")
+    degree = degree.unionByName(found.inner).groupBy("node").agg(F.sum("degree").alias("degree"))
+    reached = found.groups.where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b"))
+    part = found.ws.table(components(found.ws, found.links.select("a", "b").unionByName(reached)), "components")
     lowest = part.join(found.nodes.select("node", "first"), "node").groupBy("root").agg(F.min("first").alias("component"))
     of_node = found.nodes.select("node", "n_docs", "first").join(degree, "node", "left").join(part.join(lowest, "root").select("node", "component"), "node", "left")
     of_node = found.ws.table(of_node.select("node", "n_docs", F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("component", "first").alias("component")), "of_node")

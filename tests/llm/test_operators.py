@@ -150,6 +150,44 @@ def test_ngram_join_of_frequent_grams_and_long_sets(spark, monkeypatch, cell):
     assert got == want and sum(want.values()) > 500
 
 
+@pytest.mark.parametrize("side", [512, 5])
+def test_ngram_join_writes_no_pair_inside_a_group(spark, monkeypatch, side):
+    """Near copies of two texts, some edited too far for their center, exact copies and a mixture of both."""
+    for name, value in (("GROUP", 6), ("SIDE", side), ("DIFFERENCES", 200 * side)):
+        monkeypatch.setattr(ngram_join, name, value)
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(5000)}"
+    texts, bases = [], [[word() for _ in range(90)] for _ in range(2)]
+    for base in bases:
+        for k in range(60):
+            copy = list(base)
+            for _ in range(rng.randrange(9) if k % 6 == 0 else rng.randrange(4)):
+                copy[rng.randrange(90)] = word()
+            texts += [copy] * (1 + k % 2)
+    for _ in range(30):  # a family between two groups
+        copy = list(bases[0])
+        for at in (7, 23, 41, 59, 77, *(rng.randrange(90) for _ in range(rng.randrange(3)))):
+            copy[at] = f"v{at}"
+        texts.append(copy)
+    texts += [bases[0] + bases[1][:30], bases[0][:70] + bases[1][70:], [word() for _ in range(40)]]
+    rows = [(k, " ".join(t), "s") for k, t in enumerate(texts)]
+    sets = [shingle_set(t) for _, t, _ in rows]
+    links = [[b for b, x in enumerate(sets) if b != a and 100 * len(s & x) >= 70 * len(s | x)] for a, s in enumerate(sets)]
+    docs = frame(spark, rows).repartition(3)
+    got = {r["doc_id"]: (r["n_similar"], r["component_id"]) for r in ngram_join.linked_documents(docs).collect()}
+    for a, _, _ in rows:
+        seen, todo = {a}, [a]
+        while todo:
+            new = set(links[todo.pop()]) - seen
+            seen |= new
+            todo += new
+        assert got[a] == (len(links[a]), min(seen))
+    found = ngram_join.similar(docs)
+    different = sum(sets[a] != sets[b] for a, own in enumerate(links) for b in own)
+    assert found.groups.count() > 80 and found.inner.count() > 80
+    assert 0 < found.links.count() < different / 4
+
+
 def test_empty_tables(spark, docs):
     none = docs.limit(0)
     assert ngram_join.linked_documents(none).count() == 0 and ngram_join.keep_one(none).columns == docs.columns

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +17,11 @@ BOILERPLATE = (
     r"|(log|sign) in|sign up|subscribe|newsletter|read more|click here|back to top|skip to (main )?content|share (this|on)"
     r"|follow us|powered by|copyright|licensed under|released under the)"
 )
+#: Every match of ``BOILERPLATE`` holds one of these in lower case; a plain search for them spares most lines the pattern.
+HINTS = (
+    "rights reserved", "terms of ", "privacy policy", "cookie", "enable javascript", "lorem ipsum", "log in", "sign in", "sign up", "subscribe", "newsletter",
+    "read more", "click here", "back to top", "skip to ", "share ", "follow us", "powered by", "copyright", "licensed under", "released under",
+)
 #: Marks between the entries of a menu.
 NAVIGATION = r"[|\x{bb}\x{2022}\x{b7}>]"
 #: A line of prose ends with one of these, quotes and brackets aside.
@@ -45,10 +52,13 @@ def line_passes(line: Column, rules: LineRules = LineRules()) -> Column:
     """Whether one line, with at least a word, passes the rules for punctuation, navigation and boilerplate."""
     n = F.size(words(line))
     ends = line.rlike(END)
-    punctuation = (ends | (n > rules.short_line)) & (_count(line, r"[!?#*$%&<>]") < F.lit(rules.marks_per_word) * n)
-    menu = _count(line, NAVIGATION)
-    navigation = (menu >= rules.menu_least) & (menu >= F.lit(rules.menu_per_word) * n)
-    return punctuation & ~navigation & ~line.rlike(BOILERPLATE)
+    # Words are counted only where marks make it necessary.
+    longer = line.rlike(rf"^[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]++){{{rules.short_line}}}[^\x20\x09-\x0D]")
+    bound = lambda pattern, test: F.transform(F.array(_count(line, pattern)), test)[0]
+    few_marks = bound(r"[!?#*$%&<>]", lambda k: (F.lit(rules.marks_per_word > 0) & (k == 0)) | (k < F.lit(rules.marks_per_word) * n))
+    navigation = bound(NAVIGATION, lambda k: (k >= rules.menu_least) & (k >= F.lit(rules.menu_per_word) * n))
+    hinted = F.transform(F.array(F.lower(line)), lambda low: reduce(or_, [F.contains(low, F.lit(h)) for h in HINTS]))[0]
+    return (ends | longer) & few_marks & ~navigation & ~(hinted & line.rlike(BOILERPLATE))
 
 
 def repeated_window_words(word: Column) -> Column:
@@ -66,7 +76,7 @@ def repeated_window_words(word: Column) -> Column:
             sorted_windows,
             lambda x, i: ((i > 0) & (sorted_windows[F.greatest(i - 1, F.lit(0))]["h"] == x["h"])) | ((i < last) & (sorted_windows[F.least(i + 1, last)]["h"] == x["h"])),
         )
-        at = F.array_sort(F.transform(twin, lambda x: x["p"]))
+        at = F.sort_array(F.transform(twin, lambda x: x["p"]))
         return F.aggregate(
             at,
             F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("end")),
@@ -74,7 +84,7 @@ def repeated_window_words(word: Column) -> Column:
             lambda s: s["n"],
         )
 
-    return F.when(F.size(word) < 4, F.lit(0).cast("long")).otherwise(F.transform(F.array(F.array_sort(window)), covered)[0])
+    return F.when(F.size(word) < 4, F.lit(0).cast("long")).otherwise(F.transform(F.array(F.sort_array(window)), covered)[0])
 
 
 def judge(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:

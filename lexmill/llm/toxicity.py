@@ -166,8 +166,8 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")) % 5 == 0
 
 
-def _counts(docs: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-    """``feature, n``: documents that hold each feature (of ``wanted``, if given); counted per batch, then summed."""
+def _counts(docs: DataFrame) -> DataFrame:
+    """``feature, n``: documents that hold each feature; counted per batch, then summed."""
     out = pa.schema([("feature", pa.string()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,42 +175,39 @@ def _counts(docs: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
             n: dict[str, int] = {}
             for text in batch[0].to_pylist():
                 own = {f for w in {x.strip(EDGE) for x in set((text or "").lower().split())} for f in features_of(w)}
-                for f in own if wanted is None else own & wanted:
+                for f in own:
                     n[f] = n.get(f, 0) + 1
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], schema=out)
 
     return docs.select("text").mapInArrow(count, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 40_000, lexicon: int = 20_000, least: int = 4) -> Model:
-    """Fit a model on at most ``sample`` labelled documents, chosen by a hash of ``doc_id``.
+def train(docs: DataFrame, labels: DataFrame, lexicon: int = 20_000, least: int = 4) -> Model:
+    """Fit a model on all labelled documents but the held-out ones.
 
-    Held-out documents are left out first. One half of the sample gives the
-    lexicon: words and beginnings of words in ``least`` or more toxic documents
-    whose odds stand out from the rest, the ``lexicon`` clearest of them. The
-    other half gives the weights of the matches, by logistic regression around
-    ``PRIOR``. Of rows that repeat a ``doc_id`` the first text counts. Without labels of both kinds the prior and an empty lexicon stay.
+    One half, by a hash of ``doc_id``, gives the lexicon: words and beginnings
+    of words in ``least`` or more toxic documents whose odds stand out from the
+    rest, the ``lexicon`` clearest of them. The other half gives the weights of
+    the matches, by logistic regression around ``PRIOR``. Both are summed by
+    the workers, whatever the number of labels. Of rows that repeat a
+    ``doc_id`` the first text counts. Without labels of both kinds the prior and an empty lexicon stay.
     """
     ws = Workspace(docs.sparkSession, "toxicity")
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id")))
-    chosen = ws.table(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "toxic", (F.xxhash64("doc_id", F.lit("half")) % 2 == 0).alias("half")), "sample")
-    texts = ws.table(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic", "half").agg(F.min("text").alias("text")), "texts")
+    known = ws.table(known.select("doc_id", "toxic", (F.xxhash64("doc_id", F.lit("half")) % 2 == 0).alias("half")), "known")
+    # two numbers a row: 16 MB are broadcast at most
+    known = F.broadcast(known) if known.count() <= 500_000 else known
+    texts = ws.table(docs.select("doc_id", "text").join(known, "doc_id").groupBy("doc_id", "toxic", "half").agg(F.min("text").alias("text")), "texts")
     first = texts.where("half")
     n_pos, n_neg = (first.where(f"toxic = {k}").count() for k in (1, 0))
-    pos = {r["feature"]: r["n"] for r in _counts(first.where("toxic = 1"), None).where(F.col("n") >= least).orderBy(F.desc("n"), "feature").limit(10 * lexicon).collect()}
-    neg = {r["feature"]: r["n"] for r in _counts(first.where("toxic = 0"), frozenset(pos)).collect()}
-    odds = {}
-    for f, p in pos.items():
-        q = neg.get(f, 0)
-        value = math.log((p + 0.5) / (n_pos + 1)) - math.log((q + 0.5) / (n_neg + 1))
-        low = value - 1.64 * math.sqrt(1 / (p + 0.5) + 1 / (q + 0.5))
-        if low > 1.0:
-            odds[f] = (low, value)
-    kept = sorted(odds, key=lambda f: (-odds[f][0], f))[:lexicon]
-    model = Model({f: odds[f][1] for f in kept}, PRIOR.copy(), -2.0)
-    rows = _features(texts.where("not half"), model).collect()
-    if rows and len({r["toxic"] for r in rows}) == 2:
-        _fit(model, np.log1p(np.array([r["features"] for r in rows])), np.array([float(r["toxic"]) for r in rows]))
+    pos = ws.table(_counts(first.where("toxic = 1")).where(F.col("n") >= least).withColumnRenamed("n", "p"), "pos")
+    both = pos.join(_counts(first.where("toxic = 0")).withColumnRenamed("n", "q"), "feature", "left").withColumn("q", F.coalesce("q", F.lit(0)))
+    value = F.log((F.col("p") + 0.5) / (n_pos + 1)) - F.log((F.col("q") + 0.5) / (n_neg + 1))
+    odds = both.select("feature", value.alias("value"), (value - 1.64 * F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("q") + 0.5))).alias("low")).where("low > 1.0")
+    model = Model({r["feature"]: r["value"] for r in odds.orderBy(F.desc("low"), "feature").limit(lexicon).collect()}, PRIOR.copy(), -2.0)
+    rows = ws.table(_features(texts.where("not half"), model).groupBy("toxic", "features").agg(F.count(F.lit(1)).alias("n")), "features")
+    if rows.select("toxic").distinct().count() == 2:
+        _fit(model, lambda v: _derivatives(rows, v))
     return model
 
 
@@ -224,25 +221,44 @@ def _features(texts: DataFrame, model: Model) -> DataFrame:
     return texts.select("toxic", "text").mapInArrow(run, "toxic int, features array<double>")
 
 
-def _fit(model: Model, x: np.ndarray, y: np.ndarray, strength: float = 2.0) -> None:
+def _derivatives(rows: DataFrame, v: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Logistic loss of ``toxic, features, n`` at ``v`` (the bias last), its gradient and its second derivatives; summed by the workers."""
+    size = len(v)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros(1 + size + size * size)
+        for b in batches:
+            y, n = b[0].to_numpy().astype(float), b[2].to_numpy()
+            x = np.column_stack([np.log1p(b[1].flatten().to_numpy().reshape(-1, size - 1)), np.ones(len(y))])
+            z = x @ v
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            out += np.concatenate([[n @ np.logaddexp(0, z) - (n * y) @ z], x.T @ (n * (p - y)), ((x * (n * p * (1 - p))[:, None]).T @ x).ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array([out.tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+    sums = np.sum([r["sums"] for r in rows.mapInArrow(run, "sums array<double>").collect()], axis=0)
+    return float(sums[0]), sums[1 : 1 + size], sums[1 + size :].reshape(size, size)
+
+
+def _fit(model: Model, derivatives: Callable[[np.ndarray], tuple[float, np.ndarray, np.ndarray]], strength: float = 2.0) -> None:
     """Newton steps, halved while they don't lower it, for the logistic loss with a Gaussian prior around the given weights."""
-    x1 = np.column_stack([x, np.ones(len(x))])
     start = np.append(PRIOR, -2.0)
     w, precision = start.copy(), np.diag(np.append(np.full(len(PRIOR), strength), 1e-3))
 
-    def loss(v: np.ndarray) -> float:
-        z = x1 @ v
-        return float(np.logaddexp(0, z).sum() - y @ z + (v - start) @ precision @ (v - start) / 2)
+    def at(v: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        loss, gradient, second = derivatives(v)
+        return loss + float((v - start) @ precision @ (v - start)) / 2, gradient + precision @ (v - start), second + precision
 
+    now = at(w)
     for _ in range(50):
-        z = x1 @ w
-        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        step = np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + precision, x1.T @ (p - y) + precision @ (w - start))
-        size, now = 1.0, loss(w)
-        while size > 1e-6 and loss(w - size * step) > now:
+        step, size = np.linalg.solve(now[2], now[1]), 1.0
+        if np.abs(step).max() < 1e-8:
+            break
+        after = at(w - step)
+        while size > 1e-6 and after[0] > now[0]:
             size /= 2
-        w = w - size * step
-        if np.abs(size * step).max() < 1e-8:
+            after = at(w - size * step)
+        w, now = w - size * step, after
+        if np.abs(size * step).max() < 1e-6:
             break
     model.weights, model.bias = w[:-1], float(w[-1])
 

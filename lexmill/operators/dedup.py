@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions import hashes
+from lexmill.functions import hamming, hashes
 from lexmill.functions import text as T
 from lexmill.sinks.workspace import Workspace
 
@@ -79,20 +84,63 @@ def same_page(rows: DataFrame, rule: DedupRule = DedupRule()) -> DataFrame:
     return ordered.mapInPandas(fold, "stream_id string, kept boolean")
 
 
-def digest_bands(rows: DataFrame, exactness: int) -> DataFrame:
-    """Pairs of rows of similarity ``exactness`` or more, by bands of the digest.
+#: Digests that one task holds at most, in two blocks of half as many.
+BLOCK_ROWS = 4_000_000
 
-    Digests that differ in at most r bits agree in one of r + 1 bands, so an
-    equi-join on bands finds every pair. Equal digests are one row here.
+
+def digest_bands(rows: DataFrame, exactness: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Pairs of rows of similarity ``exactness`` or more, by bands of the digest. Equal digests are one row here.
+
+    Digests that differ in at most r bits agree in two of r + 2 bands. Distinct
+    digests are written once; a task reads all of them, or of many two blocks,
+    and sorts them by one pair of bands after the other, so neither keys nor
+    candidates are shuffled, and a pair that several pairs of bands find comes
+    once.
     """
-    bands = 128 - exactness + 1
-    width = 256 // bands
-    unique = rows.where("n_clean > 0").groupBy("digest").agg(F.min(F.struct("epoch_ticks", "stream_id")).alias("first"), F.count(F.lit(1)).alias("n"))
-    bits = F.concat(*[F.lpad(F.conv(F.substring("digest", 8 * k + 1, 8), 16, 2), 32, "0") for k in range(8)])
-    keyed = unique.withColumn("bits", bits).select("digest", F.posexplode(F.array(*[F.substring("bits", width * k + 1, width if k < bands - 1 else 256) for k in range(bands)])).alias("band", "part"))
-    a, b = keyed.select(F.col("digest").alias("a"), "band", "part"), keyed.select(F.col("digest").alias("b"), "band", "part")
-    pairs = a.join(b, ["band", "part"]).where("a < b").select("a", "b").distinct()
-    return pairs.withColumn("similarity", hashes.digest_similarity(F.col("a"), F.col("b"))).where(F.col("similarity") >= exactness)
+    differ = 128 - exactness
+    ws = Workspace(rows.sparkSession, "digests")
+    ws.table(rows.where("n_clean > 0").select(F.unhex("digest").alias("digest")).distinct(), "distinct", maxRecordsPerFile=str(max(1, block_rows // 8)))
+    store, folder = fs.FileSystem.from_uri(f"{ws.root}/distinct")
+    blocks, held, total = [[]], 0, 0
+    for file in sorted(f.path for f in store.get_file_info(fs.FileSelector(folder)) if f.path.endswith(".parquet")):
+        n = pq.read_metadata(file, filesystem=store).num_rows
+        if held and held + n > block_rows // 2:
+            blocks, held = [*blocks, []], 0
+        blocks[-1].append(file)
+        held, total = held + n, total + n
+    joined = list(combinations(range(len(blocks)), 2)) or [(0, 0)]
+    # the largest pair of bands may have a tenth of the candidates
+    parts = max(1, min(total, block_rows) // 250_000)
+    work = [(*pair, list(chosen), part) for pair in joined for chosen in hamming.choices(differ) for part in range(parts)]
+    tasks = max(1, min(len(work), max(2 * rows.sparkSession.sparkContext.defaultParallelism, 24 * len(joined))))
+    url, last = f"{ws.root}/distinct", len(blocks) - 1
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loaded = None
+        for batch in batches:
+            for item in batch.to_pylist():
+                a, b = item["a"], item["b"]
+                if loaded != (a, b):
+                    store, _ = fs.FileSystem.from_uri(url)
+                    read = lambda k, store=store: hamming.digests(pa.concat_arrays([pa.array([], pa.binary()), *(c for f in blocks[k] for c in pq.read_table(f, filesystem=store)["digest"].chunks)]))
+                    held = [read(k) for k in sorted({a, b})]
+                    digests, border = np.concatenate(held), len(held[0])
+                    bands = hamming.banded(digests, differ) if item["chosen"] else None
+                    loaded = (a, b)
+                for i, j, d in hamming.near(digests, bands, tuple(item["chosen"]), differ, item["part"], parts):
+                    if last > 1:
+                        # pairs inside a block are of one of its pairs of blocks
+                        own = np.where((i < border) != (j < border), True, np.where(i < border, b == a + 1, (a, b) == (last - 1, last)))
+                        i, j, d = i[own], j[own], d[own]
+                    for k in range(0, len(i), 50_000):
+                        u, v = digests[i[k : k + 50_000]], digests[j[k : k + 50_000]]
+                        unlike = np.argmax(u != v, axis=1)[:, None]
+                        less = np.take_along_axis(u, unlike, 1) < np.take_along_axis(v, unlike, 1)
+                        low, high = np.where(less, u, v), np.where(less, v, u)
+                        yield pa.RecordBatch.from_arrays([hamming.hexadecimal(low), hamming.hexadecimal(high), pa.array(128 - d[k : k + 50_000], pa.int32())], names=["a", "b", "similarity"])
+
+    listed = rows.sparkSession.createDataFrame([(k % tasks, *w) for k, w in enumerate(work)], "task int, a int, b int, chosen array<int>, part int")
+    return listed.repartitionByRange(tasks, "task").sortWithinPartitions("task", "a", "b").mapInArrow(compare, "a string, b string, similarity int")
 
 
 def same_digest(rows: DataFrame) -> DataFrame:

@@ -114,6 +114,30 @@ def test_digest_bands_find_all_pairs(spark):
     assert got == want and want
 
 
+def test_digest_bands_in_blocks_and_squares(spark):
+    """Each near pair once, over blocks of digests, long runs of equal keys, and without bands."""
+    import random
+
+    from lexmill.functions import hamming
+    from lexmill.functions.hashes import similarity
+
+    rng = random.Random(2)
+    centers = [rng.getrandbits(256) for _ in range(3)]
+    digests = {rng.getrandbits(256) for _ in range(100)} | {c ^ sum(1 << b for b in {rng.randrange(40) for _ in range(8)}) for c in centers for _ in range(120)}
+    rows = spark.createDataFrame([(f"{k}", f"{k}", 1.0, f"{d:064x}", 9, 9) for k, d in enumerate(digests)] * 2, "stream_id string, doc_id string, epoch_ticks double, digest string, n_clean long, n_raw long")
+    hexes = sorted(f"{d:064x}" for d in digests)
+    for exactness, block_rows in ((116, 4_000_000), (116, 400), (90, 4_000_000)):
+        want = sorted((a, b, similarity(bytes.fromhex(a), bytes.fromhex(b))) for i, a in enumerate(hexes) for b in hexes[i + 1 :] if similarity(bytes.fromhex(a), bytes.fromhex(b)) >= exactness)
+        assert sorted(map(tuple, dedup.digest_bands(rows, exactness, block_rows).collect())) == want and len(want) > 10_000
+    assert hamming.choices(90 - 59) == [()] and len(hamming.choices(12)) == 91
+
+
+def test_near_pairs_are_not_shuffled(spark):
+    """Neither keys nor candidates are rows of a join."""
+    rows = spark.createDataFrame([("1", "1", 1.0, "0" * 64, 9, 9)], "stream_id string, doc_id string, epoch_ticks double, digest string, n_clean long, n_raw long")
+    assert "Join" not in dedup.digest_bands(rows, 116)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_index(spark):
     phrases = {"1": "the quick brown fox", "2": "lazy lazy dog", "3": "dog eat dog", "4": "a lazy programmer"}
     tokens = spark.createDataFrame([(k, w) for k, p in phrases.items() for w in p.split()], "stream_id string, token string")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from itertools import batched, repeat
 
 import numpy as np
 import pandas as pd
@@ -162,28 +163,67 @@ def tokenize(items: DataFrame, labels: DataFrame | None = None, annotator: str |
     else:
         rows = rows.withColumn("marks", F.lit(None).cast("array<struct<first: bigint, length: int>>"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in TOKEN_COLUMNS.split(", ")]
-        for frame in frames:
-            out = []
-            for sid, text, marks in zip(frame["stream_id"], frame["text"], frame["marks"], strict=True):
-                ends = [] if marks is None else [(int(m["first"]), int(m["first"]) + int(m["length"])) for m in marks]
-                number, sentence, begin = 0, 0, None
-                for a, b in sentence_spans(text or ""):
-                    begin = a if begin is None else begin
-                    if any(x < b < y for x, y in ends):
-                        continue
-                    for pos, m in enumerate(_WORD.finditer(text, begin, b)):
-                        out.append((sid, sentence, pos, number, m[0], m.start(), m.end() - m.start()))
-                        number += 1
-                    sentence, begin = sentence + 1, None
-                if begin is not None:
-                    for pos, m in enumerate(_WORD.finditer(text, begin)):
-                        out.append((sid, sentence, pos, number, m[0], m.start(), m.end() - m.start()))
-                        number += 1
-            yield pd.DataFrame(out, columns=names)
-
-    return rows.mapInPandas(run, TOKEN_COLUMNS)
+    return rows.mapInArrow(token_batches, TOKEN_COLUMNS)
+
+
+def _extended(text: str, ends: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Sentences, each extended to the first end that lies inside no label."""
+    begin = None
+    for a, b in sentence_spans(text):
+        begin = a if begin is None else begin
+        if not any(x < b < y for x, y in ends):
+            yield begin, b
+            begin = None
+    if begin is not None:
+        yield begin, len(text)
+
+
+def _words(text: str, begin: int, end: int, most: int) -> Iterator[tuple[list[str], list[int]]]:
+    """White-space words of a part of a text and their places, at most ``most`` at a time."""
+    if end - begin > most:
+        for some in batched(_WORD.finditer(text, begin, end), most):
+            yield [m[0] for m in some], [m.start() for m in some]
+        return
+    words, starts, at = text[begin:end].split(), [], begin
+    for w in words:
+        at = text.index(w, at)
+        starts.append(at)
+        at += len(w)
+    yield words, starts
+
+
+def token_batches(batches: Iterable[pa.RecordBatch], most: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Tokens of the rows ``stream_id, text, marks`` in batches of about ``most`` tokens, whatever a text's length."""
+    schema = pa.schema([("stream_id", pa.string()), ("sentence_id", pa.int32()), ("sentence_pos", pa.int32()), ("token_num", pa.int32()), ("token", pa.string()), ("char_first", pa.int64()), ("char_length", pa.int32())])
+    made: list[list] = [[] for _ in schema]
+    sids, sentences, places, numbers, words, firsts, lengths = made
+
+    def taken() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(made, schema, strict=True)], schema=schema)
+        for c in made:
+            c.clear()
+        return batch
+
+    for batch in batches:
+        for sid, value, marked in zip(*(batch.column(c) for c in ("stream_id", "text", "marks")), strict=True):
+            text, marks, number = value.as_py() or "", marked.as_py() or (), 0
+            ends = [(m["first"], m["first"] + m["length"]) for m in marks]
+            for sentence, (begin, end) in enumerate(_extended(text, ends)):
+                pos = 0
+                for some, starts in _words(text, begin, end, most):
+                    n = len(some)
+                    sids.extend(repeat(sid.as_py(), n))
+                    sentences.extend(repeat(sentence, n))
+                    places.extend(range(pos, pos + n))
+                    numbers.extend(range(number, number + n))
+                    words.extend(some)
+                    firsts.extend(starts)
+                    lengths.extend(map(len, some))
+                    pos, number = pos + n, number + n
+                    if len(sids) >= most:
+                        yield taken()
+    if sids:
+        yield taken()
 
 
 def attach_labels(tokens: DataFrame, labels: DataFrame, annotator: str) -> DataFrame:

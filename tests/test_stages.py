@@ -70,6 +70,19 @@ def test_tokens_and_alignment(spark):
     assert labels.align_labels(joined, marks).count() == 3
 
 
+def test_tokens_come_in_bounded_batches():
+    """The tokens of many texts, or of one without an end mark, are never held at once."""
+    import pyarrow as pa
+
+    texts = ["word " * 950, "One two. Three four! " * 60, None, ""]
+    rows = pa.RecordBatch.from_pydict({"stream_id": ["a", "b", "c", "d"], "text": texts, "marks": pa.array([None] * 4, pa.list_(pa.struct([("first", pa.int64()), ("length", pa.int32())])))})
+    made = list(labels.token_batches([rows, rows], 100))
+    assert max(b.num_rows for b in made) < 200 and sum(b.num_rows for b in made) == 2 * (950 + 240)
+    first = [r for b in made for r in b.to_pylist()][:1190]
+    assert [r["token_num"] for r in first] == [*range(950), *range(240)] and [r["sentence_pos"] for r in first[:950]] == [*range(950)]
+    assert max(r["sentence_id"] for r in first if r["stream_id"] == "b") == 119
+
+
 def test_chains_and_mentions(spark):
     words = ["John", "Smith", "met", "J.", "Smythe", "at", "O'Hare"]
     tokens = spark.createDataFrame([("1", "t", n, w, 7 if n in (0, 1) else -1, 0) for n, w in enumerate(words)], "stream_id string, tagger_id string, token_num int, token string, equiv_id int, sentence_id int")

@@ -54,13 +54,22 @@ class KeywordIndex:
 
 
 def build(counted: DataFrame, key: str = "stream_id") -> KeywordIndex:
-    """The index of counted terms. Hashes are made once per distinct term; terms of equal hash are added up."""
-    distinct = counted.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    dictionary = distinct.select(term_hash_udf("term").alias("hash"), "term", "n")
-    postings = _hashed(counted, dictionary, key)
+    """The index of counted terms. Hashes are made once per distinct term, unless ``hash`` comes with the counts; terms of equal hash are added up."""
+    if "hash" in counted.columns:
+        dictionary = counted.groupBy("hash", "term").agg(F.count(F.lit(1)).alias("n"))
+        # the range serves the sum and the order of the written table: one shuffle for both
+        postings = counted.repartitionByRange("hash").groupBy("hash", key).agg(F.sum("tf").alias("tf"))
+    else:
+        distinct = counted.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+        dictionary = distinct.select(term_hash_udf("term").alias("hash"), "term", "n")
+        postings = _hashed(counted, dictionary, key)
+    return KeywordIndex(postings, frequencies(postings, counted, key), dictionary, counted)
+
+
+def frequencies(postings: DataFrame, counted: DataFrame, key: str = "stream_id") -> DataFrame:
+    """Documents by hash, and all of them at hash 0."""
     total = counted.select(key).distinct().agg(F.lit(0).alias("hash"), F.count(F.lit(1)).alias("n"))
-    frequencies = postings.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).unionByName(total)
-    return KeywordIndex(postings, frequencies, dictionary, counted)
+    return postings.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).unionByName(total)
 
 
 def _hashed(counted: DataFrame, dictionary: DataFrame, key: str) -> DataFrame:

@@ -166,6 +166,27 @@ def test_index(spark):
     assert index.lookup(built, [0]).count() == 0
 
 
+def test_hashes_of_many_terms():
+    import random
+
+    import pyarrow as pa
+
+    from lexmill.functions import hashes
+
+    rng = random.Random(3)
+    terms = ["", "a", "é", "the", "lazy", *("".join(rng.choice("ab é\u4e00\U0001f600") for _ in range(rng.randrange(40))) for _ in range(500))]
+    made = hashes.term_hashes(pa.array(["skipped", *terms])[1:])
+    assert made.tolist() == [hashes.term_hash(t) for t in terms]
+
+
+def test_hashes_are_asked_of_distinct_terms(spark):
+    """The test of a hash stays above the grouping of equal terms."""
+    tokens = spark.createDataFrame([("1", "dog")] * 3, "stream_id string, token string")
+    built = index.build(index.terms(tokens))
+    plan = built.dictionary.where("hash = 5").select("term")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Eval") < plan.index("Aggregate")
+
+
 def test_chunks(spark):
     time = datetime.datetime(2024, 1, 1, 5)
     rows = spark.createDataFrame([(f"{n}-x", f"{n:032x}", f"u/{n % 2}", "s" if n < 6 else "t", float(n), time, n) for n in range(7)], "stream_id string, doc_id string, abs_url string, source string, epoch_ticks double, stream_time timestamp, pos long")

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
-from lexmill.functions.hashes import term_hash_udf
+from lexmill.functions.hashes import term_hash_udf, term_hashes
 from lexmill.operators.filters import LITERALS, among
 
 STOP_WORDS = tuple("a an and are as at be but by for from has have he her his i in is it its not of on or she that the their they this to was we were will with you".split())
@@ -43,6 +46,32 @@ def text_terms(items: DataFrame, text: str = "clean_visible", key: str = "stream
     return _wanted_terms(rows, size_limit, stop_words, drop_empty).groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def hashed_text_terms(items: DataFrame, text: str = "clean_visible", key: str = "stream_id", size_limit: int = 128) -> DataFrame:
+    """``key, term, tf, hash``, as ``text_terms``: terms are counted and hashed within their row, so no token moves.
+
+    Only where a key has several rows are its counts added up by a shuffle.
+    """
+    kind = dict(items.dtypes)[key]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # bounded parts, for a few very long texts
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                coded = part[1].flatten().dictionary_encode()
+                known, width = coded.dictionary, max(1, len(coded.dictionary))
+                owner = np.repeat(np.arange(part.num_rows), pc.list_value_length(part[1]).to_numpy())
+                pairs, tf = np.unique(owner * width + coded.indices.to_numpy(), return_counts=True)
+                few = (pc.binary_length(known).to_numpy(zero_copy_only=False) <= size_limit)[pairs % width] if len(pairs) else slice(0)
+                row, term = pa.array(pairs[few] // width), pa.array(pairs[few] % width)
+                yield pa.RecordBatch.from_arrays([part[0].take(row), known.take(term), pa.array(tf[few]), pa.array(term_hashes(known)).take(term)], names=[key, "term", "tf", "hash"])
+
+    made = items.select(key, T.cleansed_tokens(F.col(text)).alias("terms")).mapInArrow(count, f"`{key}` {kind}, term string, tf long, hash int")
+    if items.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+        made = made.groupBy(key, "term", "hash").agg(F.sum("tf").alias("tf")).select(*made.columns)
+    return made
+
+
 @dataclass(frozen=True)
 class KeywordIndex:
     """``postings`` (hash, key, tf), ``frequencies`` (hash, n; hash 0 counts documents), ``dictionary`` (hash, term, n); ``counted`` (key, term, tf) while it is not written."""

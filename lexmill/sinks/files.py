@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
+from lexmill.functions.hashes import term_hash_udf
 from lexmill.operators import index
+from lexmill.sinks.workspace import Workspace
 from lexmill.sources import kv
 
 
@@ -21,18 +23,31 @@ def write_chunks(items: DataFrame, path: str, by: list[str] | None = None, mode:
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def write_index_tables(items: DataFrame, path: str, tokens: DataFrame | None = None, with_source: bool = True, by_time: bool = True, size_limit: int = 128, mode: str = "overwrite") -> None:
-    """The key-ordered tables of items and, for tokens, postings, frequencies and dictionary, each sorted by its key."""
+def write_index_tables(items: DataFrame, path: str, tokens: DataFrame | None = None, with_source: bool = True, by_time: bool = True, size_limit: int = 128, mode: str = "overwrite", counted: DataFrame | None = None, with_items: bool = True) -> None:
+    """The key-ordered tables of items and, for tokens or their counted terms, postings, frequencies and dictionary, each sorted by its key.
+
+    Terms are counted and hashed once and written aside; the three tables of
+    terms are made of that.
+    """
     tables = kv.index_tables(items)
-    tables["si"].repartitionByRange("key").sortWithinPartitions("key").write.mode(mode).parquet(f"{path}/si")
+    if with_items:
+        tables["si"].repartitionByRange("key").sortWithinPartitions("key").write.mode(mode).parquet(f"{path}/si")
     if with_source:
         tables["sisi"].repartitionByRange("key").sortWithinPartitions("key").write.mode(mode).parquet(f"{path}/sisi")
     if by_time:
         tables["siti"].repartitionByRange("epoch_ticks").sortWithinPartitions("epoch_ticks", "doc_id").write.mode(mode).parquet(f"{path}/siti")
-    if tokens is not None:
-        built = index.build(index.terms(tokens, size_limit=size_limit))
-        for name, table in (("sitf", built.postings), ("sihf", built.frequencies), ("sihk", built.dictionary)):
+    if counted is None and tokens is not None:
+        counted = index.terms(tokens, size_limit=size_limit)
+    if counted is not None:
+        ws = Workspace(items.sparkSession, "terms")
+        counted = ws.table(counted if "hash" in counted.columns else counted.withColumn("hash", term_hash_udf("term")), "counted")
+        built = index.build(counted)
+        built.postings.sortWithinPartitions("hash").write.mode(mode).parquet(f"{path}/sitf")
+        # what is written is read back, unless rows of an earlier call lie beside it
+        written = items.sparkSession.read.schema(built.postings.schema).parquet(f"{path}/sitf") if mode == "overwrite" else built.postings
+        for name, table in (("sihf", index.frequencies(written, counted)), ("sihk", built.dictionary)):
             table.repartitionByRange("hash").sortWithinPartitions("hash").write.mode(mode).parquet(f"{path}/{name}")
+        ws.drop()
 
 
 def tarballs(items: DataFrame, by: list[str], languages: list[str] | None = None, user: str = "nobody", group: str = "nogroup") -> DataFrame:

@@ -179,6 +179,47 @@ def test_hashes_of_many_terms():
     assert made.tolist() == [hashes.term_hash(t) for t in terms]
 
 
+def test_index_tables_read_their_tokens_once(spark, tmp_path):
+    """Terms are counted and hashed in one pass; all three tables are made of what that wrote."""
+    from pyspark.sql.types import StringType
+
+    from lexmill.functions.hashes import term_hash
+    from lexmill.sinks import files as sinks
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf(StringType())
+    def seen(word):
+        made.add(1)
+        return word
+
+    words = [("1", "dog"), ("1", "dog"), ("1", "The"), ("2", "dog"), ("2", "cat")]
+    tokens = spark.createDataFrame(words, "stream_id string, token string").select("stream_id", seen.asNondeterministic()("token").alias("token"))
+    rows = spark.createDataFrame([("1", "0" * 32, 5.0, "s")], "stream_id string, doc_id string, epoch_ticks double, source string")
+    sinks.write_index_tables(rows, str(tmp_path), tokens)
+    assert made.value == len(words)
+    read = lambda name: sorted(map(tuple, spark.read.parquet(f"{tmp_path}/{name}").collect()))
+    h = term_hash
+    assert read("sitf") == sorted([(h("dog"), "1", 2), (h("the"), "1", 1), (h("dog"), "2", 1), (h("cat"), "2", 1)])
+    assert read("sihf") == sorted([(0, 2), (h("dog"), 2), (h("the"), 1), (h("cat"), 1)])
+    assert read("sihk") == sorted([(h("dog"), "dog", 2), (h("the"), "the", 1), (h("cat"), "cat", 1)])
+
+
+def test_hashed_text_terms(spark):
+    """As the counts by shuffle, also where a key has two rows; long terms are left out, and no token moves."""
+    long = "x" * 129
+    rows = [("1", f"Dog dog, - {long} e.g. dog"), ("2", "dog"), ("3", None), ("4", " "), ("5", "É -LRB- \u3000 cat")]
+    for more in ([], [("2", "cat dog")]):
+        docs = spark.createDataFrame(rows + more, "stream_id string, text string")
+        made = index.hashed_text_terms(docs, "text")
+        got = sorted(made.select("stream_id", "term", "tf").collect())
+        assert got == sorted(index.text_terms(docs, "text").select("stream_id", "term", "tf").collect()) and got
+        assert ("Exchange" in made._jdf.queryExecution().executedPlan().toString()) == bool(more)
+        from lexmill.functions.hashes import term_hash
+
+        assert all(r["hash"] == term_hash(r["term"]) for r in made.collect())
+
+
 def test_hashes_are_asked_of_distinct_terms(spark):
     """The test of a hash stays above the grouping of equal terms."""
     tokens = spark.createDataFrame([("1", "dog")] * 3, "stream_id string, token string")

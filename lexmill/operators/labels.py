@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import batched, repeat
 
 import numpy as np
@@ -32,16 +32,9 @@ def hyperlinks(items: DataFrame, offset_type: str = "CHARS", require_abs_url: bo
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = pc.split_pattern_regex(batch[1].cast(pa.large_string()), "(?i)</a>")
-            parts, off = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
-            off = off - off[0]
-            reached = np.concatenate([[0], np.cumsum(measure(parts).to_numpy(zero_copy_only=False).astype(np.int64) + 4)])
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(off))
-            closed = np.ones(len(parts), bool)
-            closed[off[1:][np.diff(off) > 0] - 1] = False
-            at = np.flatnonzero(closed & pc.match_substring(parts, "href", ignore_case=True).to_numpy(zero_copy_only=False))
-            before = reached[at] - reached[off[:-1]][owner[at]]
-            yield pa.RecordBatch.from_arrays([batch[0].take(pa.array(owner[at])), parts.take(pa.array(at)).cast(pa.string()), pa.array(before)], names=["stream_id", "part", "before"])
+            parts, owner, before, closed = _pieces(batch[1], measure)
+            at = np.flatnonzero(closed)
+            yield pa.RecordBatch.from_arrays([batch[0].take(pa.array(owner[at])), parts.take(pa.array(at)).cast(pa.string()), pa.array(before[at])], names=["stream_id", "part", "before"])
 
     rows = items.select("stream_id", "clean_html").mapInArrow(split, f"stream_id {kind}, part string, before long").where(F.col("part").rlike(ANCHOR))
     # the text is what is left of the piece behind the opening tag
@@ -59,6 +52,64 @@ def hyperlinks(items: DataFrame, offset_type: str = "CHARS", require_abs_url: bo
     return found.withColumns({"annotator_id": F.lit(annotator), "offset_type": F.lit(offset_type), "content_form": F.lit("clean_html"), "positive": F.lit(True)})
 
 
+def _pieces(pages: pa.Array, measure: Callable[[pa.Array], pa.Array]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Pages split at closing tags: the pieces, the page of each, its place there, and whether a tag closes it and it may name a link."""
+    lists = pc.split_pattern_regex(pages.cast(pa.large_string()), "(?i)</a>")
+    parts, off = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+    off = off - off[0]
+    reached = np.concatenate([[0], np.cumsum(measure(parts).to_numpy(zero_copy_only=False).astype(np.int64) + 4)])
+    owner = np.repeat(np.arange(len(pages)), np.diff(off))
+    closed = np.ones(len(parts), bool)
+    closed[off[1:][np.diff(off) > 0] - 1] = False
+    closed &= pc.match_substring(parts, "href", ignore_case=True).to_numpy(zero_copy_only=False)
+    return parts, owner, reached[:-1] - reached[off[:-1]][owner], closed
+
+
+def linked_tokens(items: DataFrame, text: str = "clean_visible", require_abs_url: bool = True, linked_only: bool = False) -> DataFrame:
+    """``stream_id, token_num, char_first, target_id``: white-space tokens of a text, each with the link whose text it starts in, or null.
+
+    The rows of ``align_labels`` and ``attach_labels`` for ``hyperlinks`` and
+    ``whitespace_tokens`` of one table, where ``text`` has the offsets of
+    ``clean_html``: a link's text ends its piece of the page, so a token can
+    only lie in the link of its own piece, and no row moves.
+    """
+    kind = dict(items.dtypes)["stream_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # bounded parts, for a few very long pages
+            for at in range(0, batch.num_rows, 64):
+                ids, pages, texts = batch.slice(at, 64).columns
+                parts, owner, before, closed = _pieces(pages, pc.utf8_length)
+                _, page, number, first = token_places(texts)
+                # place of the piece that each token starts in
+                wide = max(int(before.max(initial=0)), int(first.max(initial=0))) + 1
+                piece = np.searchsorted(owner * wide + before, page * wide + first, "right") - 1
+                inside = (piece >= 0) & (owner[piece] == page) & closed[piece] if len(owner) else np.zeros(len(piece), bool)
+                for some, linked in ((np.flatnonzero(inside), True), (np.flatnonzero(~inside), False)):
+                    if not len(some) or (linked_only and not linked):
+                        continue
+                    group = piece[some] if linked else page[some]
+                    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+                    offsets = pa.array(np.append(starts, len(some)), pa.int32())
+                    lists = [pa.ListArray.from_arrays(offsets, pa.array(x[some])) for x in (number, first)]
+                    row, of = pa.array(page[some][starts]), pa.array(group[starts])
+                    part = parts.take(of).cast(pa.string()) if linked else pa.nulls(len(starts), pa.string())
+                    begin = pa.array(before[group[starts]]) if linked else pa.nulls(len(starts), pa.int64())
+                    yield pa.RecordBatch.from_arrays([ids.take(row), part, begin, *lists], names=["stream_id", "part", "before", "number", "first"])
+
+    rows = items.select("stream_id", "clean_html", F.col(text).alias("text")).mapInArrow(run, f"stream_id {kind}, part string, before long, number array<int>, first array<long>")
+    target = F.when(F.col("part").rlike(ANCHOR), F.regexp_extract("part", ANCHOR, 2))
+    value = F.regexp_extract("part", ANCHOR, 3)
+    stop = F.col("before") + F.length("part")
+    found = rows.select("stream_id", target.alias("target"), (stop - F.length(value)).alias("begin"), stop.alias("stop"), F.explode(F.arrays_zip("number", "first")).alias("token"))
+    covered = F.col("target").isNotNull() & (F.col("token.first") >= F.col("begin")) & (F.col("token.first") < F.col("stop"))
+    if require_abs_url:
+        covered = covered & F.lower("target").rlike("^https?://")
+    made = found.select("stream_id", F.col("token.number").alias("token_num"), F.col("token.first").alias("char_first"), F.when(covered, F.col("target")).alias("target_id"))
+    return made.where("target_id is not null") if linked_only else made
+
+
 def hyperlinks_by_line(items: DataFrame, annotator: str = "author") -> DataFrame:
     """As above with LINES offsets: the line of the anchor's start, and the lines its text spans."""
     found = hyperlinks(items, "CHARS", annotator=annotator).withColumnRenamed("first", "__at")

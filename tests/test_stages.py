@@ -83,6 +83,22 @@ def test_tokens_come_in_bounded_batches():
     assert max(r["sentence_id"] for r in first if r["stream_id"] == "b") == 119
 
 
+def test_linked_tokens_are_those_of_the_joins(spark):
+    """Tokens meet the links of their own page without a shuffle, with the rows of the range join and of the as-of join."""
+    from lexmill.functions import text as T
+
+    page = '<p>é x <a class="q" href="http://a.org/1">one two </a>y <A HREF=\'b.org/2\'>tw\u00f6 <b>three</b></A><a name="n">no</a> <a href="http://c.org"></a> <img alt="</a> z">end'
+    pages = [page, "none at all", None, "", '<a href="http://d.org">all</a>', "open <a href='http://e.org'>never closed", 'pre<a href="http://f.org">glued</a>post', " </a></a> x"] * 20
+    rows = items(spark, [row(n, clean_html=h) for n, h in enumerate(pages)]).withColumn("clean_visible", T.blank_tags(F.col("clean_html")))
+    for absolute in (True, False):
+        found, tokens = labels.hyperlinks(rows, require_abs_url=absolute), labels.whitespace_tokens(rows)
+        made = labels.linked_tokens(rows, require_abs_url=absolute, linked_only=True)
+        assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+        cut = lambda df: sorted(map(tuple, df.select("stream_id", "token_num", F.coalesce("target_id", F.lit("-"))).collect()))
+        assert cut(made) == cut(labels.align_labels(tokens, found)) and made.count() >= 80
+        assert cut(labels.linked_tokens(rows, require_abs_url=absolute)) == cut(labels.attach_labels(tokens, found, "author"))
+
+
 def test_chains_and_mentions(spark):
     words = ["John", "Smith", "met", "J.", "Smythe", "at", "O'Hare"]
     tokens = spark.createDataFrame([("1", "t", n, w, 7 if n in (0, 1) else -1, 0) for n, w in enumerate(words)], "stream_id string, tagger_id string, token_num int, token string, equiv_id int, sentence_id int")

@@ -150,6 +150,22 @@ def whitespace_tokens(items: DataFrame, text: str = "clean_visible") -> DataFram
     return items.select("stream_id", F.col(text).alias("text")).mapInArrow(run, f"stream_id {kind}, token_num int, token string, char_first long")
 
 
+def token_lists(items: DataFrame, text: str = "clean_visible") -> DataFrame:
+    """``stream_id, token_num, token, char_first`` as ``whitespace_tokens``, but one row of arrays for each text that has tokens."""
+    kind = dict(items.dtypes)["stream_id"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                tokens, owner, number, first = token_places(part[1])
+                starts = np.flatnonzero(number == 0)
+                offsets = pa.array(np.append(starts, len(number)), pa.int32())
+                yield pa.RecordBatch.from_arrays([part[0].take(pa.array(owner[starts])), *(pa.ListArray.from_arrays(offsets, x) for x in (pa.array(number), tokens, pa.array(first)))], names=["stream_id", "token_num", "token", "char_first"])
+
+    return items.select("stream_id", F.col(text).alias("text")).mapInArrow(run, f"stream_id {kind}, token_num array<int>, token array<string>, char_first array<long>")
+
+
 def token_places(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """All tokens of the texts, the place of each one's text, its number there and its first character."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")

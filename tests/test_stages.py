@@ -99,6 +99,24 @@ def test_linked_tokens_are_those_of_the_joins(spark):
         assert cut(labels.linked_tokens(rows, require_abs_url=absolute)) == cut(labels.attach_labels(tokens, found, "author"))
 
 
+def test_token_lists(spark):
+    texts = ["a bb  c", None, " ", "", "\u00e9\u3000x \ty ", "z"] * 30
+    rows = items(spark, [row(n, clean_visible=t) for n, t in enumerate(texts)])
+    lists = labels.token_lists(rows)
+    got = lists.select("stream_id", F.explode(F.arrays_zip("token_num", "token", "char_first")).alias("t")).select("stream_id", "t.*")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, labels.whitespace_tokens(rows).collect())) and lists.count() == 90
+
+
+def test_whitespace_tokens_are_not_sorted(spark, tmp_path):
+    """Tokens are not rows of an aggregate, which would sort all of them; texts of one id count together."""
+    from lexmill.plans.queries import QUERIES
+
+    spark.createDataFrame([(1, "b a"), (1, "c"), (2, None), (3, "d")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    made = QUERIES["whitespace_tokens"](spark, str(tmp_path))
+    assert sorted(map(tuple, made.collect())) == [(1, 3, 1, 2, "a", "c"), (3, 1, 0, 0, "d", "d")]
+    assert "array_min" in made._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_chains_and_mentions(spark):
     words = ["John", "Smith", "met", "J.", "Smythe", "at", "O'Hare"]
     tokens = spark.createDataFrame([("1", "t", n, w, 7 if n in (0, 1) else -1, 0) for n, w in enumerate(words)], "stream_id string, tagger_id string, token_num int, token string, equiv_id int, sentence_id int")

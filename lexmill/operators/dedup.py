@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import hamming, hashes
 from lexmill.functions import text as T
-from lexmill.sinks.workspace import Workspace
+from lexmill.sinks.workspace import Workspace, bounded_arrow_batches
 
 
 @dataclass(frozen=True)
@@ -55,6 +55,7 @@ def measured(items: DataFrame, rule: DedupRule) -> DataFrame:
     The content is digested as it stands.
     """
     clean = F.coalesce(F.col(rule.content_form), F.lit(""))
+    bounded_arrow_batches(items.sparkSession)
     digest = hashes.nilsimsa_udf(clean) if rule.use_nilsimsa else F.lit("0" * 64)
     raw = F.octet_length("raw") if "raw" in items.columns else F.lit(0)
     return items.select("stream_id", "doc_id", "epoch_ticks", digest.alias("digest"), F.octet_length(clean).cast("long").alias("n_clean"), F.coalesce(raw, F.lit(0)).cast("long").alias("n_raw"))
@@ -144,7 +145,8 @@ def digest_bands(rows: DataFrame, exactness: int, block_rows: int = BLOCK_ROWS)
 
 
 def same_digest(rows: DataFrame) -> DataFrame:
-    """``stream_id, kept``: of rows with equal digests of some text, the earliest is kept. Grouped before it is joined."""
+    """``stream_id, kept``: of rows with equal digests of some text, the earliest is kept. Grouped before it is joined; digests are made once and written."""
+    rows = Workspace(rows.sparkSession, "same").table(rows, "measured")
     first = rows.where("n_clean > 0").groupBy("digest").agg(F.min(F.struct("epoch_ticks", "stream_id")).alias("first"))
     return rows.join(first, "digest", "left").select("stream_id", F.coalesce((F.col("n_clean") == 0) | (F.col("stream_id") == F.col("first.stream_id")), F.lit(True)).alias("kept"))
 

@@ -32,6 +32,11 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own[app]
 
 
+def bounded_arrow_batches(spark: SparkSession, most: int = 4_000_000) -> None:
+    """Keep Arrow batches of whole texts or files to some bytes (a row at least); batches of thin rows stay as long as they are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
 class Workspace:
     """Tables and files of one operator call, written under the shared folder.
 

@@ -161,6 +161,23 @@ def test_digest_bands_find_all_pairs(spark):
     assert got == want and want
 
 
+def test_digests_are_made_once_and_in_blocks(spark):
+    """A text is digested block by block, in Arrow batches of few bytes, and once for both sides of the join."""
+    import random
+
+    from lexmill.functions.hashes import nilsimsa
+
+    rng = random.Random(5)
+    for n in (0, 1, 3, 4, 5, 6, 9, 10, 200):
+        data = bytes(rng.randrange(256) for _ in range(n))
+        assert {nilsimsa(data, block) for block in (1, 2, 3, 5, 64, 1 << 18)} == {nilsimsa(data)}
+    frame = spark.createDataFrame([("1-a", "a", 1.0, "one text"), ("2-b", "b", 2.0, "one text"), ("3-c", "c", 3.0, ""), ("4-d", "d", 4.0, None)], "stream_id string, doc_id string, epoch_ticks double, clean_visible string")
+    made = dedup.same_digest(dedup.measured(frame, dedup.DedupRule()))
+    assert sorted(map(tuple, made.collect())) == [("1-a", True), ("2-b", False), ("3-c", True), ("4-d", True)]
+    assert "Python" not in made._jdf.queryExecution().executedPlan().toString()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b")) <= 4_000_000
+
+
 def test_digest_bands_in_blocks_and_squares(spark):
     """Each near pair once, over blocks of digests, long runs of equal keys, and without bands."""
     import random

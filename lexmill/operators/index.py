@@ -82,12 +82,15 @@ class KeywordIndex:
     counted: DataFrame | None = None
 
 
-def build(counted: DataFrame, key: str = "stream_id") -> KeywordIndex:
-    """The index of counted terms. Hashes are made once per distinct term, unless ``hash`` comes with the counts; terms of equal hash are added up."""
+def build(counted: DataFrame, key: str = "stream_id", parts: int | None = None) -> KeywordIndex:
+    """The index of counted terms. Hashes are made once per distinct term, unless ``hash`` comes with the counts; terms of equal hash are added up.
+
+    With ``hash``, ``parts`` may give the number of ranges of the postings.
+    """
     if "hash" in counted.columns:
         dictionary = counted.groupBy("hash", "term").agg(F.count(F.lit(1)).alias("n"))
         # the range serves the sum and the order of the written table: one shuffle for both
-        postings = counted.repartitionByRange("hash").groupBy("hash", key).agg(F.sum("tf").alias("tf"))
+        postings = (counted.repartitionByRange(parts, "hash") if parts else counted.repartitionByRange("hash")).groupBy("hash", key).agg(F.sum("tf").alias("tf"))
     else:
         distinct = counted.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
         dictionary = distinct.select(term_hash_udf("term").alias("hash"), "term", "n")

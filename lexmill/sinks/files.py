@@ -23,6 +23,10 @@ def write_chunks(items: DataFrame, path: str, by: list[str] | None = None, mode:
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+#: Postings of one task, on average; a task sorts and adds them up in memory.
+POSTINGS = 1_000_000
+
+
 def write_index_tables(items: DataFrame, path: str, tokens: DataFrame | None = None, with_source: bool = True, by_time: bool = True, size_limit: int = 128, mode: str = "overwrite", counted: DataFrame | None = None, with_items: bool = True) -> None:
     """The key-ordered tables of items and, for tokens or their counted terms, postings, frequencies and dictionary, each sorted by its key.
 
@@ -41,7 +45,7 @@ def write_index_tables(items: DataFrame, path: str, tokens: DataFrame | None = N
     if counted is not None:
         ws = Workspace(items.sparkSession, "terms")
         counted = ws.table(counted if "hash" in counted.columns else counted.withColumn("hash", term_hash_udf("term")), "counted")
-        built = index.build(counted)
+        built = index.build(counted, parts=counted.count() // POSTINGS + 1)
         built.postings.sortWithinPartitions("hash").write.mode(mode).parquet(f"{path}/sitf")
         # what is written is read back, unless rows of an earlier call lie beside it
         written = items.sparkSession.read.schema(built.postings.schema).parquet(f"{path}/sitf") if mode == "overwrite" else built.postings

@@ -256,6 +256,21 @@ def test_index_tables_read_their_tokens_once(spark, tmp_path):
     assert read("sihk") == sorted([(h("dog"), "dog", 2), (h("the"), "the", 1), (h("cat"), "cat", 1)])
 
 
+def test_postings_grow_by_tasks(spark, tmp_path, monkeypatch):
+    """More postings are more tasks, not larger ones; files are ranges of hashes, each in order, and nothing is lost between them."""
+    from lexmill.sinks import files as sinks
+
+    monkeypatch.setattr(sinks, "POSTINGS", 50)
+    tokens = spark.createDataFrame([(str(k), f"w{k * 7 % 201}") for k in range(402)], "stream_id string, token string")
+    rows = spark.createDataFrame([("1", "0" * 32, 5.0, "s")], "stream_id string, doc_id string, epoch_ticks double, source string")
+    sinks.write_index_tables(rows, str(tmp_path), tokens, with_items=False, with_source=False, by_time=False)
+    files = [[r["hash"] for r in spark.read.parquet(str(f)).collect()] for f in (tmp_path / "sitf").glob("*.parquet")]
+    ordered = sorted(f for f in files if f)
+    assert len(ordered) >= 8 and all(f == sorted(f) for f in ordered) and sum(map(len, ordered)) == 402
+    assert all(a[-1] < b[0] for a, b in zip(ordered, ordered[1:]))  # noqa: B905, RUF007
+    assert not (tmp_path / "si").exists()
+
+
 def test_hashed_text_terms(spark):
     """As the counts by shuffle, also where a key has two rows; long terms are left out, and no token moves."""
     long = "x" * 129
